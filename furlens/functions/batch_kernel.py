@@ -79,7 +79,8 @@ def _vectors(block: np.ndarray) -> np.ndarray:
     out = np.empty((n, K.N_FEATURES))
     if depth >= 3:
         planes = np.ascontiguousarray(block[:, :, :3].transpose(2, 0, 1))
-        gray = np.tensordot(np.asarray(K.GRAY_WEIGHTS), planes.astype(np.float64), axes=1)
+        red, green, blue = (w * plane for w, plane in zip(K.GRAY_WEIGHTS, planes))
+        gray = red + green + blue
     else:
         planes = np.broadcast_to(block[:, :, 0], (3, n, size))
         gray = block[:, :, 0].astype(np.float64)
@@ -92,9 +93,7 @@ def _vectors(block: np.ndarray) -> np.ndarray:
         out[:, 5 * c : 5 * c + 5] = np.stack(
             [plane.mean(axis=1), plane.std(axis=1), median, p25, p75], axis=1
         )
-    bins = np.minimum(
-        (gray * (K.ENTROPY_BINS / K.ENTROPY_TOP)).astype(np.int64), K.ENTROPY_BINS - 1
-    )
+    bins = np.minimum((gray * K.ENTROPY_BINS / K.ENTROPY_TOP).astype(np.int64), K.ENTROPY_BINS - 1)
     bins += np.arange(n)[:, None] * K.ENTROPY_BINS
     counts = np.bincount(bins.ravel(), minlength=n * K.ENTROPY_BINS).reshape(n, K.ENTROPY_BINS)
     share = counts + K.ENTROPY_EPS

@@ -112,7 +112,7 @@ def with_feature_vector(
             "_bins": F.transform(
                 "_gray",
                 lambda g: F.least(
-                    F.floor(g * F.lit(ENTROPY_BINS / ENTROPY_TOP)).cast("int"),
+                    F.floor(g * F.lit(ENTROPY_BINS) / F.lit(ENTROPY_TOP)).cast("int"),
                     F.lit(ENTROPY_BINS - 1),
                 ),
             ),

@@ -122,15 +122,8 @@ def kernel_svm(train: DataFrame, test: DataFrame, max_iter: int = 100, dim: int
     def lifted(df: DataFrame) -> DataFrame:
         return df.withColumn("features", lift(F.col("features")))
 
-    # The learner passes over the data once per iteration; without this every
-    # pass would run the Python lift again.
-    ready = _vectors(lifted(train)).persist()
-    try:
-        est = LinearSVC(maxIter=max_iter, regParam=1.0 / max(1, ready.count()), standardization=False)
-        model = est.fit(ready)
-    finally:
-        ready.unpersist()
-    return _plain(model.transform(_vectors(lifted(test))))
+    est = LinearSVC(maxIter=max_iter, regParam=1.0 / max(1, train.count()), standardization=False)
+    return _mllib(est, lifted(train), lifted(test))
 
 
 def naive_bayes(train: DataFrame, test: DataFrame, dim: int = N_FEATURES) -> DataFrame:
@@ -159,7 +152,5 @@ def fit_predict(spec: ModelSpec, train: DataFrame, test: DataFrame, dim: int = N
     """Scale where the model needs it (fitted on train only), then fit and predict."""
     if spec.needs_scaling:
         fitted = scaler(train, dim=dim)
-        scaled_train = scale(train, fitted, "features").persist()
-        predictions = spec.fit_predict(scaled_train, scale(test, fitted, "features"))
-        return predictions
+        train, test = scale(train, fitted), scale(test, fitted)
     return spec.fit_predict(train, test)

@@ -99,7 +99,7 @@ def matrix_stats(df: DataFrame, features: str = "image_features") -> DataFrame:
 def data_info(df: DataFrame, source: str, features: str = "image_features") -> DataFrame:
     """One row describing the training data. The class map has one entry per label."""
     classes = df.groupBy("label").agg(F.count(F.lit(1)).alias("count")).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "count")))).alias("m")
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("label").cast("string"), "count")))).alias("m")
     )
     return matrix_stats(df, features).select(
         "samples",
