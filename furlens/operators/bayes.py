@@ -3,69 +3,68 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from furlens.functions.kernel import N_FEATURES
+from furlens.operators.scaling import moments, numbers, population_variance
 
 # Fixed value: share of the largest feature variance added to every variance.
 VAR_SMOOTHING = 1e-9
+_MAX_LABELS = 1000
 
 
-def fit(train: DataFrame, features: str = "features", label: str = "label", dim: int = N_FEATURES) -> DataFrame:
-    """One row with ``classes``: an array of (label, base, mean, var), one entry per label."""
-    cells = [F.get(F.col(features), F.lit(i)) for i in range(dim)]
-    per_class = train.groupBy(F.col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(c) for c in cells]).alias("mean"),
-        F.array(*[F.var_pop(c) for c in cells]).alias("var"),
-    )
-    gathered = per_class.agg(
-        F.array_sort(F.collect_list(F.struct("label", "n", "mean", "var"))).alias("c"),
-        F.sum("n").alias("rows"),
-    )
-    largest = gathered.withColumn("floor", _largest_variance(dim) * F.lit(VAR_SMOOTHING))
-
-    def entry(c):
-        var = F.transform(c["var"], lambda v: v + F.col("floor"))
-        logs = F.aggregate(var, F.lit(0.0), lambda acc, v: acc + F.log(v * F.lit(2 * math.pi)))
-        base = F.log(c["n"] / F.col("rows")) - F.lit(0.5) * logs
-        return F.struct(c["label"].alias("label"), base.alias("base"), c["mean"].alias("mean"), var.alias("var"))
-
-    return largest.select(F.transform("c", entry).alias("classes"))
-
+@dataclass(frozen=True)
+class ClassModel:
+    label: int
+    base: float
+    mean: list[float]
+    var: list[float]
 
-def _largest_variance(dim: int):
-    """Largest feature variance over all rows, put together from the per-class moments."""
 
-    def pooled(i: int):
-        def weighted(term):
-            return F.aggregate("c", F.lit(0.0), lambda acc, c: acc + c["n"] * term(c)) / F.col("rows")
+def fit(train: DataFrame, features: str = "features", label: str = "label") -> list[ClassModel]:
+    """Class moments: one row per label reaches the driver.
 
-        at = F.lit(i)
-        centre = weighted(lambda c: F.get(c["mean"], at))
-        return weighted(
-            lambda c: F.get(c["var"], at)
-            + (F.get(c["mean"], at) - centre) * (F.get(c["mean"], at) - centre)
-        )
-
-    return F.array_max(F.array(*[pooled(i) for i in range(dim)]))
-
-
-def predict(df: DataFrame, model: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
+    The largest variance over all rows is put together from the class moments,
+    so the data is read once.
+    """
+    summaries = (
+        train.groupBy(F.col(label).alias("label"))
+        .agg(moments(features).alias("s"))
+        .limit(_MAX_LABELS + 1)
+        .collect()
+    )
+    if not summaries:
+        raise ValueError("no rows to fit on")
+    if len(summaries) > _MAX_LABELS:
+        raise ValueError(f"{label} has more than {_MAX_LABELS} distinct values")
+    classes = [
+        {"label": r["label"], "n": r["s"]["count"], "mean": [float(v) for v in r["s"]["mean"]], "var": population_variance(r["s"])}
+        for r in summaries
+    ]
+    rows = sum(m["n"] for m in classes)
+    overall = [sum(m["n"] * m["mean"][i] for m in classes) / rows for i in range(len(classes[0]["mean"]))]
+    pooled = [
+        sum(m["n"] * (m["var"][i] + (m["mean"][i] - overall[i]) ** 2) for m in classes) / rows
+        for i in range(len(classes[0]["mean"]))
+    ]
+    floor = VAR_SMOOTHING * max(pooled)
+    models = []
+    for m in sorted(classes, key=lambda m: m["label"]):
+        var = [v + floor for v in m["var"]]
+        base = math.log(m["n"] / rows) - 0.5 * sum(math.log(2 * math.pi * v) for v in var)
+        models.append(ClassModel(m["label"], base, m["mean"], var))
+    return models
+
+
+def predict(df: DataFrame, models: list[ClassModel], features: str = "features", out: str = "prediction") -> DataFrame:
     """Add the most likely label; the smaller label wins a tie."""
 
-    def score(c):
-        centred = F.zip_with(F.col(features), c["mean"], lambda x, m: (x - m) * (x - m))
-        terms = F.zip_with(centred, c["var"], lambda d, v: d / v)
+    def score(m: ClassModel):
+        squares = F.zip_with(F.col(features), numbers(m.mean), lambda x, c: (x - c) * (x - c))
+        terms = F.zip_with(squares, numbers(m.var), lambda s, v: s / v)
         distance = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-        return F.struct(
-            (c["base"] - F.lit(0.5) * distance).alias("score"), (-c["label"]).alias("neg")
-        )
+        return F.struct((F.lit(m.base) - F.lit(0.5) * distance).alias("score"), F.lit(-m.label).alias("neg"))
 
-    scores = F.transform(F.col("_classes"), score)
-    return (
-        df.withColumn("_classes", model.select("classes").scalar())
-        .withColumn(out, -F.array_max(scores)["neg"])
-        .drop("_classes")
-    )
+    best = F.array_max(F.array(*[score(m) for m in models]))
+    return df.withColumn(out, -best["neg"])

@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from furlens.functions.kernel import N_FEATURES
 
 K = 5
 MAX_PIVOTS = 256
 BLOCK_ROWS = 20_000
 CHUNK_ROWS = 20_000
+ROWS_PER_SQUARED_PIVOT = 50
 _DECIMALS = 9
 _SLACK = 1e-6
 _SLICE_CELLS = 4_000_000
@@ -101,7 +101,7 @@ def _cells_to_visit(pivots: np.ndarray, radius: np.ndarray, kth: np.ndarray):
     return visit.asNondeterministic()
 
 
-def _search(k: int, dim: int):
+def _search(k: int):
     def search(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         """The k nearest train rows of one block for every test row of one chunk."""
         empty = pd.DataFrame({"features": [], "d2": [], "image_id": [], "label": []})
@@ -154,8 +154,18 @@ def _cell_table(placed: DataFrame, k: int, cells: int) -> tuple[np.ndarray, np.n
     return count, radius, bound
 
 
+def _pick_pivots(train: DataFrame, n: int) -> np.ndarray:
+    """``n`` distinct train vectors in hash order: reproducible and free of the data's order."""
+    picked = train.select("features").distinct().orderBy(F.xxhash64("features")).limit(n).collect()
+    return np.array([r["features"] for r in picked])
+
+
 def neighbours(
-    train: DataFrame, test: DataFrame, k: int = K, dim: int = N_FEATURES, max_pivots: int = MAX_PIVOTS
+    train: DataFrame,
+    test: DataFrame,
+    k: int = K,
+    max_pivots: int = MAX_PIVOTS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(features, d2, image_id, label): the k nearest train rows of each distinct test vector.
 
@@ -168,32 +178,27 @@ def neighbours(
     n_train, n_test = train.count(), points.count()
     if not n_train or not n_test:
         return spark.createDataFrame([], "features array<double>, d2 double, image_id string, label int")
-    n_pivots = min(max_pivots, max(1, math.isqrt(n_train // 50)))
-    picked = (
-        train.select("features")
-        .distinct()
-        .orderBy(F.xxhash64("features"))
-        .limit(n_pivots)
-        .collect()
-    )
-    pivots = np.array([r["features"] for r in picked])
-    at = F.col("_at")
-    placed = train.withColumn("_at", _nearest_pivot(pivots)(F.col("features"))).select(
-        "image_id", "label", "features", at["cell"].alias("cell"), at["dist"].alias("dist")
-    )
-    count, radius, kth = _cell_table(placed, k, len(pivots))
-    if not np.isfinite(kth).any():
-        kth = np.full(len(pivots), np.inf)
-    blocks = F.create_map(
-        *[F.lit(v) for c, n in enumerate(count) for v in (c, max(1, math.ceil(n / BLOCK_ROWS)))]
-    )
     chunks = max(1, math.ceil(n_test / CHUNK_ROWS))
-    n_blocks = F.element_at(blocks, F.col("cell"))
-    left = (
-        points.withColumn("cell", F.explode(_cells_to_visit(pivots, radius, kth)(F.col("features"))))
-        .withColumn("chunk", F.pmod(F.xxhash64("features"), F.lit(chunks)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    )
+    left = points.withColumn("chunk", F.pmod(F.xxhash64("features"), F.lit(chunks)).cast("int"))
+    if n_train <= block_rows:
+        # One block holds all train rows: nothing to prune.
+        zero = F.lit(0)
+        left = left.withColumns({"cell": zero, "block": zero})
+        placed, n_blocks = train.withColumn("cell", zero), F.lit(1)
+    else:
+        n_pivots = min(max_pivots, max(1, math.isqrt(n_train // ROWS_PER_SQUARED_PIVOT)))
+        pivots = _pick_pivots(train, n_pivots)
+        at = F.col("_at")
+        placed = train.withColumn("_at", _nearest_pivot(pivots)(F.col("features"))).select(
+            "image_id", "label", "features", at["cell"].alias("cell"), at["dist"].alias("dist")
+        )
+        count, radius, kth = _cell_table(placed, k, len(pivots))
+        sizes = [F.lit(max(1, math.ceil(n / block_rows))) for n in count]
+        n_blocks = F.get(F.array(*sizes), F.col("cell"))
+        visits = F.explode(_cells_to_visit(pivots, radius, kth)(F.col("features")))
+        left = left.withColumn("cell", visits).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), n_blocks - 1))
+        )
     right = placed.withColumn(
         "block", F.pmod(F.xxhash64("image_id", "features"), n_blocks).cast("int")
     ).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
@@ -202,7 +207,7 @@ def neighbours(
         left.groupBy(*keys)
         .cogroup(right.select("image_id", "label", "features", *keys).groupBy(*keys))
         .applyInPandas(
-            lambda a, b: _search(k, dim)(a, b),
+            _search(k),
             "features array<double>, d2 double, image_id string, label int",
         )
     )
@@ -210,9 +215,9 @@ def neighbours(
     return found.withColumn("_r", rank).filter(F.col("_r") <= k).drop("_r")
 
 
-def predict(train: DataFrame, test: DataFrame, k: int = K, dim: int = N_FEATURES, out: str = "prediction") -> DataFrame:
+def predict(train: DataFrame, test: DataFrame, k: int = K, out: str = "prediction") -> DataFrame:
     """Add the majority label of the k nearest train rows; the smaller label wins a tie."""
-    near = neighbours(train, test, k, dim)
+    near = neighbours(train, test, k)
     votes = near.groupBy("features", "label").agg(F.count(F.lit(1)).alias("n"))
     winner = votes.groupBy("features").agg(
         F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("w")

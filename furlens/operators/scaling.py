@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+from dataclasses import dataclass
 
-from furlens.functions.kernel import N_FEATURES
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def scaler(train: DataFrame, features: str = "features", dim: int = N_FEATURES) -> DataFrame:
-    """One row: arrays ``mean`` and ``scale``. A constant feature has scale 1.
+@dataclass(frozen=True)
+class Scaler:
+    mean: list[float]
+    scale: list[float]
 
-    One global aggregation over element expressions; nothing is exploded.
+
+def moments(features: str = "features") -> Column:
+    """Aggregate: count, mean and sample variance of every element, in one pass and for any length."""
+    return Summarizer.metrics("count", "mean", "variance").summary(array_to_vector(F.col(features)))
+
+
+def population_variance(summary) -> list[float]:
+    n = summary["count"]
+    return [v * (n - 1) / n for v in summary["variance"]]
+
+
+def scaler(train: DataFrame, features: str = "features") -> Scaler:
+    """Mean and scale per feature; a constant feature has scale 1.
+
+    One aggregation; two numbers per feature reach the driver.
     """
-    cells = [F.get(F.col(features), F.lit(i)) for i in range(dim)]
-    stats = train.agg(
-        F.array(*[F.avg(c) for c in cells]).alias("mean"),
-        F.array(*[F.stddev_pop(c) for c in cells]).alias("std"),
-    )
-    return stats.select(
-        "mean", F.transform("std", lambda s: F.when(s > 0, s).otherwise(F.lit(1.0))).alias("scale")
-    )
-
-
-def scale(df: DataFrame, fitted: DataFrame, features: str = "features") -> DataFrame:
-    """Replace ``features`` by scaled values. The one-row scaler enters as a scalar subquery."""
-    s = fitted.select(F.struct("mean", "scale")).scalar()
-    centred = F.zip_with(F.col(features), F.col("_s.mean"), lambda v, m: v - m)
-    return (
-        df.withColumn("_s", s)
-        .withColumn(features, F.zip_with(centred, F.col("_s.scale"), lambda v, d: v / d))
-        .drop("_s")
-    )
+    summary = train.agg(moments(features).alias("s")).first()["s"]
+    if not summary["count"]:
+        raise ValueError("no rows to fit the scaler on")
+    stds = [math.sqrt(v) for v in population_variance(summary)]
+    return Scaler([float(m) for m in summary["mean"]], [s if s > 0 else 1.0 for s in stds])
+
+
+def numbers(values: list[float]) -> Column:
+    """An array literal of doubles."""
+    return F.lit([float(v) for v in values]).cast("array<double>")
+
+
+def scale(df: DataFrame, fitted: Scaler, features: str = "features") -> DataFrame:
+    """Replace ``features`` by scaled values."""
+    centred = F.zip_with(F.col(features), numbers(fitted.mean), lambda v, m: v - m)
+    return df.withColumn(features, F.zip_with(centred, numbers(fitted.scale), lambda v, d: v / d))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from furlens.operators import classifiers, features as X, performance, split, sweep
@@ -18,8 +17,10 @@ def training_rows(features: DataFrame) -> DataFrame:
 
 
 def prepared_split(rows: DataFrame, test_fraction: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Persisted train and test sets in partitions that suit the learners."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    """Persisted train and test sets in partitions that suit the learners.
+
+    ``rows`` should come straight from storage: it is read a few times here.
+    """
     n = rows.count()
     flagged = split.stratified_split(rows, test_fraction=test_fraction, seed=seed)
     train, test = split.train_test(flagged)

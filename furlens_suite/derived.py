@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from furlens.operators import features as X
 from furlens.operators.cleaning import extract_fields
 from furlens.plans import clean, evaluate, extract
+from furlens.session import shared_dir
+from furlens.sources import readers as R, writers as W
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,8 +230,8 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _shared: dict = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make):
-    """One persisted copy per application and data folder, shared by the learning queries."""
+def once(spark: SparkSession, sf_dir: str, name: str, make):
+    """One copy per application and data folder, shared by the learning queries."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _shared:
         _shared[key] = make()
@@ -237,14 +239,23 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make):
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image_id, label, features of all usable images."""
-    return _once(
-        spark, sf_dir, "rows", lambda: evaluate.training_rows(feature_rows(spark, sf_dir)).persist()
-    )
+    """image_id, label, features of all usable images, read from a table in the shared folder.
+
+    As between the stages of the engine itself, learning starts from stored
+    features: later jobs have a short plan and survive lost executors without
+    extracting anything again.
+    """
+
+    def stored() -> DataFrame:
+        path = shared_dir(spark, "rows")
+        W.write_features(feature_rows(spark, sf_dir), path)
+        return evaluate.training_rows(R.read_features(spark, path, "parquet"))
+
+    return once(spark, sf_dir, "rows", stored)
 
 
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return _once(
+    return once(
         spark, sf_dir, "split", lambda: evaluate.prepared_split(rows(spark, sf_dir))
     )
 

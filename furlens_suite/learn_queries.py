@@ -123,19 +123,28 @@ per_class as (
 select round(sum(2.0 * tp / (support + predicted) * support) / sum(support), 9) as f1_score from per_class"""
 
 
+def _sweep(spark, sf_dir, level: int) -> dict:
+    """One sweep per level and session: the sweep queries show different parts of the same runs."""
+
+    def run() -> dict:
+        train, test = D.train_test(spark, sf_dir)
+        return sweep.run_sweep(M.default_models(), train, test, level)
+
+    return D.once(spark, sf_dir, f"sweep {level}", run)
+
+
 def ml_sweep_sequential(spark, sf_dir):
-    train, test = D.train_test(spark, sf_dir)
-    return sweep.run_tables(spark, [sweep.run_sweep(M.default_models(), train, test, 1)])[0]
+    return sweep.run_tables(spark, [_sweep(spark, sf_dir, 1)])[0]
 
 
 def ml_sweep_parallel(spark, sf_dir):
-    train, test = D.train_test(spark, sf_dir)
-    return sweep.run_tables(spark, [sweep.run_sweep(M.default_models(), train, test, 4)])[0]
+    return sweep.run_tables(spark, [_sweep(spark, sf_dir, 4)])[0]
 
 
 def ml_sweep_levels(spark, sf_dir):
-    train, test = D.train_test(spark, sf_dir)
-    runs, configs = sweep.run_tables(spark, sweep.run_levels(M.default_models(), train, test))
+    runs, configs = sweep.run_tables(
+        spark, [_sweep(spark, sf_dir, n) for n in sweep.usable_levels(spark)]
+    )
     return performance.config_summary(runs, configs)
 
 
