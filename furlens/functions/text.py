@@ -15,10 +15,13 @@ def capture(line: Column, pattern: str) -> Column:
     return F.regexp_extract(F.regexp_substr(line, F.lit(pattern)), pattern, 1)
 
 
-def capture_from(line: Column, pattern: str, opener: str) -> Column:
-    """Like :func:`capture` for a group that starts at the first ``opener`` and ends the match."""
+def capture_value(line: Column, pattern: str, key: str) -> Column:
+    """Like :func:`capture` for a bracketed group that ends the match ``"key": [...``.
+
+    The key in front is trimmed off instead of matching the long text again.
+    """
     match = F.regexp_substr(line, F.lit(pattern))
-    return F.substring(match, F.instr(match, opener), F.length(match))
+    return F.ltrim(match, F.lit(f'":{key} \t\n\x0b\f\r'))
 
 
 def shorten(text: Column, width: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from furlens.functions.once import with_columns_once
-from furlens.functions.text import capture, capture_from
+from furlens.functions.text import capture, capture_value
 from furlens.sources import schemas as S
 
 # One pattern per field, the group is the value.
@@ -47,8 +47,8 @@ def extract_fields(lines: DataFrame, value: str = "value", mode: str = "regex")
         "label": capture(line, LABEL),
         "keyword": capture(line, KEYWORD),
         "tags": capture(line, TAGS),
-        "image_array": capture_from(line, IMAGE_ARRAY, "["),
-        "original_shape": capture_from(line, ORIGINAL_SHAPE, "["),
+        "image_array": capture_value(line, IMAGE_ARRAY, "image_array"),
+        "original_shape": capture_value(line, ORIGINAL_SHAPE, "original_shape"),
     }
     return with_columns_once(lines.select(value), fields).drop(value)
 

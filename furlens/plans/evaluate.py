@@ -27,11 +27,18 @@ def prepared_split(rows: DataFrame, test_fraction: float = 0.3, seed: int = 42)
     return classifiers.compact(train, n).persist(), classifiers.compact(test, n).persist()
 
 
-def run(spark: SparkSession, features_path: str, out: str, in_fmt: str = "parquet", levels=sweep.LEVELS) -> DataFrame:
+def run(
+    spark: SparkSession,
+    features_path: str,
+    out: str,
+    in_fmt: str = "parquet",
+    levels: tuple[int, ...] = sweep.LEVELS,
+    models: list[classifiers.ModelSpec] | None = None,
+) -> DataFrame:
     """Run every sweep level, write the CSV and the nested report, return the speedups."""
     rows = training_rows(read_features(spark, features_path, in_fmt))
     train, test = prepared_split(rows)
-    sweeps = sweep.run_levels(classifiers.default_models(), train, test, levels)
+    sweeps = sweep.run_levels(models or classifiers.default_models(), train, test, levels)
     model_runs, config_runs = sweep.run_tables(spark, sweeps)
     write_runs_csv(model_runs, f"{out}/model_performance")
     info = X.data_info(rows, features_path, "features")
