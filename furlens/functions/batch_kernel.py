@@ -13,26 +13,22 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from furlens.functions import kernel as K
+from furlens.functions.batch_images import lists
 from furlens.functions.tensors import parse_tensor
 
 # Images per numpy step: bounds the temporaries whatever the Arrow batch holds.
 _STEP = 32
 
 
-def _lists(values: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
-    """Absolute offsets and child values of a list array."""
-    return np.asarray(values.offsets), values.values
-
-
 def _image_shapes(images: pa.ListArray):
     """Start cell, height, width and channels per image; height 0 marks a rejected one.
 
     An image is kept when its rows, and its pixels, are equally long. A null at
     any level shows up as a null mask or a zero length, and rejects the image.
     """
-    o1, rows = _lists(images)
-    o2, pixels = _lists(rows)
-    o3, cells = _lists(pixels)
+    o1, rows = lists(images)
+    o2, pixels = lists(rows)
+    o3, cells = lists(pixels)
     widths, depths = np.diff(o2), np.diff(o3)
     n = len(images)
     height = np.diff(o1)

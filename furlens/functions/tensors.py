@@ -90,19 +90,3 @@ def to_rgb(pixel: Column) -> Column:
     """Three channels from any pixel: gray is repeated, alpha is dropped."""
     first = F.get(pixel, F.lit(0))
     return F.when(F.size(pixel) < 3, F.array(first, first, first)).otherwise(F.slice(pixel, 1, 3))
-
-
-def resize_nearest(tensor: Column, out_height: int = 64, out_width: int = 64) -> Column:
-    """Nearest-neighbour resize to RGB: target cell i reads source cell floor((i + 0.5) * n / m)."""
-
-    def source(i: Column, n: Column, m: int) -> Column:
-        return F.floor((i + F.lit(0.5)) * n / F.lit(m)).cast("int")
-
-    h, w = height(tensor), width(tensor)
-    columns = F.transform(F.sequence(F.lit(0), F.lit(out_width - 1)), lambda j: source(j, w, out_width))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(out_height - 1)),
-        lambda i: F.transform(
-            columns, lambda j: to_rgb(F.get(F.get(tensor, source(i, h, out_height)), j))
-        ),
-    )

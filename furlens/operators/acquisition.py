@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from furlens.functions import labels, tensors, text
-from furlens.functions.once import with_columns_once
+from furlens.functions.batch_images import resize_nearest
 
 # Acceptance rules of a download.
 MIN_CONTENT_LENGTH = 10000
@@ -80,7 +80,7 @@ def keep_content(df: DataFrame, tensor: str = "tensor") -> DataFrame:
 
 def resize(df: DataFrame, tensor: str = "tensor", out: str = "resized", side: int = RESIZED_SIDE) -> DataFrame:
     """Add an RGB copy of ``side`` x ``side`` by nearest neighbour."""
-    return with_columns_once(df, {out: tensors.resize_nearest(F.col(tensor), side, side)})
+    return df.withColumn(out, resize_nearest(side, side)(F.col(tensor).cast("array<array<array<int>>>")))
 
 
 def keep_content_twice(df: DataFrame, tensor: str = "tensor", side: int = RESIZED_SIDE) -> DataFrame:

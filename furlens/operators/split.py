@@ -157,7 +157,3 @@ def _divide_copies(copies: DataFrame, b: Boundary, out: str, chunk: int = 100_00
     last = F.least(F.lit(b.inside), F.col("_from") + F.lit(chunk - 1))
     numbered = chunks.withColumn("_i", F.explode(F.sequence(F.col("_from"), last)))
     return numbered.withColumn(out, F.col("_i") <= b.need).drop("_from", "_i")
-
-
-def train_test(split: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:
-    return split.filter(~F.col(flag)).drop(flag), split.filter(flag).drop(flag)

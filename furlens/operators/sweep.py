@@ -55,7 +55,7 @@ def usable_levels(spark: SparkSession, levels: tuple[int, ...] = LEVELS) -> list
 
 
 def run_sweep(models: list[ModelSpec], train: DataFrame, test: DataFrame, level: int = 1) -> dict:
-    """All models with ``level`` of them in flight. ``train`` and ``test`` should be persisted."""
+    """All models with ``level`` of them in flight. ``train`` and ``test`` should be read from storage."""
     started = time.perf_counter()
     if level == 1:
         results = [run_model(m, train, test) for m in models]

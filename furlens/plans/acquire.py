@@ -7,6 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from furlens.operators import acquisition as A
 
 
+# About 50 MB of listing rows.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if a count shows that it is small; otherwise leave the join to Spark.
+
+    The other side holds decoded images, which should not be shuffled to meet a
+    few listing rows.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def image_records(
     listing: DataFrame, fetched: DataFrame, provider: str, n: int = A.MAX_PER_KEYWORD
 ) -> DataFrame:
@@ -22,5 +35,7 @@ def image_records(
         F.col("image_url").isNotNull() & (F.col("image_url") != "")
     )
     accepted = fetched.transform(A.keep_image_responses).transform(A.keep_image_formats)
-    found = candidates.join(accepted.select("url", "tensor"), F.col("image_url") == F.col("url"))
+    found = accepted.select("url", "tensor").join(
+        small_side(candidates), F.col("image_url") == F.col("url")
+    )
     return A.image_record(A.top_candidates(A.keep_content_twice(found), rank, n), provider)

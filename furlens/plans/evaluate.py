@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from furlens.operators import classifiers, features as X, performance, split, sweep
+from furlens.session import shared_dir
 from furlens.sources.readers import read_features
 from furlens.sources.writers import write_runs_csv, write_table
 
 
+TRAINING = "image_id string, label int, features array<double>"
+
+
 def training_rows(features: DataFrame) -> DataFrame:
     """image_id, label and features of the usable rows."""
     return X.keep_trainable(features).select(
@@ -17,14 +21,19 @@ def training_rows(features: DataFrame) -> DataFrame:
 
 
 def prepared_split(rows: DataFrame, test_fraction: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Persisted train and test sets in partitions that suit the learners.
+    """Train and test set, written once below the shared folder and read from there.
 
-    ``rows`` should come straight from storage: it is read a few times here.
+    Every model, also of a concurrent sweep, then scans stored files with a plan
+    of its own; nothing depends on cached blocks of executors that may be lost.
+    The learners cache what they iterate over. ``rows`` should come straight
+    from storage: it is read a few times here.
     """
-    n = rows.count()
+    spark = rows.sparkSession
+    path = shared_dir(spark, "split")
     flagged = split.stratified_split(rows, test_fraction=test_fraction, seed=seed)
-    train, test = split.train_test(flagged)
-    return classifiers.compact(train, n).persist(), classifiers.compact(test, n).persist()
+    classifiers.compact(flagged, rows.count()).write.partitionBy("is_test").parquet(path)
+    stored = spark.read.schema(f"{TRAINING}, is_test string").parquet(path)
+    return tuple(stored.filter(F.col("is_test") == v).drop("is_test") for v in ("false", "true"))
 
 
 def run(

@@ -12,39 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
-
-_TENSOR = ArrayType(ArrayType(ArrayType(IntegerType())))
-
-
-def _nested(flat: np.ndarray, heights, widths, depths) -> pa.Array:
-    """Flat cells of many images to one Arrow list<list<list<int>>> array."""
-    heights, widths, depths = (np.asarray(v, dtype=np.int64) for v in (heights, widths, depths))
-    per_pixel = np.repeat(depths, heights * widths)
-    per_row = np.repeat(widths, heights)
-
-    def offsets(sizes):
-        return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-
-    pixels = pa.ListArray.from_arrays(offsets(per_pixel), pa.array(flat, pa.int32()))
-    rows = pa.ListArray.from_arrays(offsets(per_row), pixels)
-    return pa.ListArray.from_arrays(offsets(heights), rows)
-
-
-@F.arrow_udf(_TENSOR)
-def _decode(data: pa.Array, height: pa.Array, width: pa.Array, channels: pa.Array) -> pa.Array:
-    cells = []
-    shapes = list(zip(height.to_pylist(), width.to_pylist(), channels.to_pylist()))
-    for blob, (h, w, c) in zip(data, shapes):
-        block = np.frombuffer(blob.as_buffer(), np.uint8).reshape(h * w, c)
-        order = [2, 1, 0] + list(range(3, c)) if c >= 3 else list(range(c))
-        cells.append(block[:, order].ravel())
-    flat = np.concatenate(cells).astype(np.int32) if cells else np.zeros(0, np.int32)
-    return _nested(flat, *(zip(*shapes) if shapes else ([], [], [])))
-
-
-_decode_once = _decode.asNondeterministic()
+from pyspark.sql.types import StringType, StructField, StructType
 
+from furlens.functions.batch_images import decode
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """name, origin, height, width, channels and tensor of every readable image file below ``path``."""
@@ -55,7 +25,7 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
         "height",
         "width",
         F.col("nChannels").alias("channels"),
-        _decode_once("data", "height", "width", "nChannels").alias("tensor"),
+        decode("data", "height", "width", "nChannels").alias("tensor"),
     )
 
 

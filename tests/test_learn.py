@@ -161,8 +161,12 @@ def test_default_models_in_order():
     assert M.tree_depth(1000) == 30 and M.tree_depth(10**9) == 12
 
 
-def test_every_model_learns_and_a_failure_is_a_row(spark):
-    train, test = labelled(spark, 160).persist(), labelled(spark, 60, seed=9).persist()
+def test_every_model_learns_and_a_failure_is_a_row(spark, tmp_path):
+    def stored(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    train, test = stored(labelled(spark, 160), "train"), stored(labelled(spark, 60, seed=9), "test")
 
     def broken(train, test):
         raise ValueError("no fit")
