@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -62,8 +63,20 @@ def _plain(predictions: DataFrame) -> DataFrame:
     )
 
 
+def _without_summary(model):
+    """Drop the training summary of a fitted model.
+
+    Spark 4.1 ships the summary, and with it the session, to the tasks that
+    predict; once the session has observed a query it cannot be serialised.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def _mllib(estimator, train: DataFrame, test: DataFrame) -> DataFrame:
-    return _plain(estimator.fit(_vectors(train)).transform(_vectors(test)))
+    model = _without_summary(estimator.fit(_vectors(train)))
+    return _plain(model.transform(_vectors(test)))
 
 
 def tree_depth(rows: int) -> int:

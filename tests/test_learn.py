@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from furlens.operators import bayes, classifiers as M, metrics, neighbors, performance, split, sweep
 from furlens.operators.scaling import scale, scaler
@@ -167,6 +167,10 @@ def test_every_model_learns_and_a_failure_is_a_row(spark, tmp_path):
         return spark.read.parquet(str(tmp_path / name))
 
     train, test = stored(labelled(spark, 160), "train"), stored(labelled(spark, 60, seed=9), "test")
+    # The earlier stages observe their writes; models have to work in such a session.
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).count()
+    assert seen.get["n"] == 3
 
     def broken(train, test):
         raise ValueError("no fit")
