@@ -61,12 +61,20 @@ def colour_codes(tensor: Column) -> Column:
     Hashing plain numbers lets ``array_distinct`` use its hash set; on nested
     arrays it would compare every pair of pixels.
     """
-    return F.transform(
-        F.flatten(tensor),
-        lambda pixel: F.aggregate(
+
+    def general(pixel: Column) -> Column:
+        return F.aggregate(
             pixel, F.lit(0).cast("bigint"), lambda acc, v: acc * 256 + v.cast("bigint")
-        ),
-    )
+        )
+
+    def usual(pixel: Column) -> Column:
+        first, second, third = (F.get(pixel, F.lit(i)).cast("bigint") for i in range(3))
+        return (first * 256 + second) * 256 + third
+
+    # Three channels are the common case and need no inner loop.
+    return F.when(
+        channels(tensor) == 3, F.transform(F.flatten(tensor), usual)
+    ).otherwise(F.transform(F.flatten(tensor), general))
 
 
 def has_content(tensor: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from furlens.functions.once import with_columns_once
 from furlens.operators import features as X
 from furlens.operators.cleaning import extract_fields
 from furlens.plans import clean, evaluate, extract
@@ -96,7 +97,8 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _spread(table(spark, sf_dir, "embeddings"), "vec_id")
         .withColumn("ch", F.expr(_CHANNELS))
-        .select("vec_id", "label", "ch", F.expr(px).alias("px"))
+        .transform(with_columns_once, {"px": F.expr(px)})
+        .select("vec_id", "label", "ch", "px")
     )
 
 
@@ -357,14 +359,12 @@ TENSOR_IMAGES = f"""images as (
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, label, tensor (array of arrays of arrays of ints)."""
-    return pixels(spark, sf_dir).select(
-        "vec_id",
-        "label",
-        F.expr(
-            "case when vec_id % 9 = 0 then slice(px, 1, 5) when vec_id % 7 = 0 then "
-            f"transform(px, r -> transform(r, p -> transform(p, v -> cast({_FEW} as int)))) else px end"
-        ).alias("tensor"),
+    tensor = F.expr(
+        "case when vec_id % 9 = 0 then slice(px, 1, 5) when vec_id % 7 = 0 then "
+        f"transform(px, r -> transform(r, p -> transform(p, v -> cast({_FEW} as int)))) else px end"
     )
+    made = with_columns_once(pixels(spark, sf_dir), {"tensor": tensor})
+    return made.select("vec_id", "label", "tensor")
 
 
 # Listing responses: 50 documents each, every fifth response without hits.
