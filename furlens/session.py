@@ -8,6 +8,8 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import furlens
+
 # Defaults that suit these jobs. On a cluster, spark-submit settings win over
 # them, and the shuffle partition count is a start value that AQE coalesces.
 DEFAULTS = {
@@ -27,14 +29,13 @@ def build_session(app: str = "furlens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ship_package() -> None:
-    """Send this package's Python functions with the tasks that use them.
+def ship_package(*others) -> None:
+    """Send the Python functions of this package, and of ``others``, with the tasks that use them.
 
-    Executors then need no installed copy of it.
+    Executors then need no installed copy.
     """
-    import furlens
-
-    cloudpickle.register_pickle_by_value(furlens)
+    for module in (furlens, *others):
+        cloudpickle.register_pickle_by_value(module)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

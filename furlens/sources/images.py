@@ -1,4 +1,4 @@
-"""Image files in and out.
+"""Image files.
 
 Decoding uses Spark's image source (JPEG, PNG, GIF, BMP). It delivers bytes in
 blue-green-red order, row by row; an Arrow UDF turns them into nested arrays.
@@ -6,16 +6,11 @@ blue-green-red order, row by row; an Arrow UDF turns them into nested arrays.
 
 from __future__ import annotations
 
-import struct
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from furlens.functions.batch_images import decode
 
+
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """name, origin, height, width, channels and tensor of every readable image file below ``path``."""
     found = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
@@ -27,33 +22,3 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
         F.col("nChannels").alias("channels"),
         decode("data", "height", "width", "nChannels").alias("tensor"),
     )
-
-
-def _bitmap(tensor: np.ndarray) -> bytes:
-    """A 24-bit bottom-up bitmap file, rows padded to four bytes."""
-    h, w, _ = tensor.shape
-    pad = -w * 3 % 4
-    body = np.zeros((h, w * 3 + pad), np.uint8)
-    body[:, : w * 3] = tensor[::-1, :, ::-1].reshape(h, w * 3)
-    head = struct.pack("<2sIHHI", b"BM", 54 + body.size, 0, 0, 54)
-    return head + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 24, 0, body.size, 2835, 2835, 0, 0) + body.tobytes()
-
-
-def write_bitmaps(images: DataFrame, folder: str) -> int:
-    """Write each row (name, tensor) as a bitmap file from the tasks; returns the number of files.
-
-    A retried task writes the same file names with the same bytes.
-    """
-
-    def save(batches):
-        fs, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
-        fs.create_dir(root, recursive=True)
-        for batch in batches:
-            names = batch.column("name").to_pylist()
-            for name, tensor in zip(names, batch.column("tensor").to_pylist()):
-                with fs.open_output_stream(f"{root}/{name}.bmp") as f:
-                    f.write(_bitmap(np.asarray(tensor, dtype=np.uint8)))
-            yield pa.RecordBatch.from_pydict({"name": names})
-
-    schema = StructType([StructField("name", StringType())])
-    return images.select("name", "tensor").mapInArrow(save, schema).count()

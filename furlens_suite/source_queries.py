@@ -11,7 +11,7 @@ from furlens.operators import features as X
 from furlens.plans import clean
 from furlens.session import shared_dir
 from furlens.sources import images as I, readers as R, schemas as S, writers as W
-from furlens_suite import derived as D
+from furlens_suite import bitmaps, derived as D
 
 ARRAY_DOCUMENT_ROWS = 50
 
@@ -122,7 +122,7 @@ def src_image_files(spark, sf_dir):
         F.concat(F.lit("img_"), "vec_id").alias("name"),
         F.transform("px", lambda row: F.transform(row, tensors.to_rgb)).alias("tensor"),
     )
-    I.write_bitmaps(rgb, folder)
+    bitmaps.write_bitmaps(rgb, folder)
     decoded = I.read_images(spark, folder)
     return decoded.select("name", "height", "width", "channels", F.md5(F.to_json("tensor")).alias("pixels"))
 

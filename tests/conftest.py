@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import furlens_suite  # noqa: E402
 from furlens.session import build_session, ship_package  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -24,7 +25,7 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    ship_package()
+    ship_package(furlens_suite)
     yield session
     session.stop()
 

@@ -6,6 +6,7 @@ from furlens.functions import labels, tensors
 from furlens.operators import acquisition as A, counts
 from furlens.plans import acquire
 from furlens.sources import images as I, readers as R, writers as W
+from furlens_suite.bitmaps import write_bitmaps
 
 
 @pytest.mark.parametrize(
@@ -153,7 +154,7 @@ def test_image_files_round_trip(spark, tmp_path):
     images = [(f"i{n}", rng.integers(0, 256, (3 + n, 5, 3)).tolist()) for n in range(3)]
     df = spark.createDataFrame(images, "name string, tensor array<array<array<int>>>")
     folder = str(tmp_path / "bmp")
-    assert I.write_bitmaps(df, folder) == 3
+    assert write_bitmaps(df, folder) == 3
     (tmp_path / "bmp" / "bad.png").write_bytes(b"not an image")
     got = {r["name"]: r["tensor"] for r in I.read_images(spark, folder).collect()}
     assert got == dict(images)
