@@ -105,14 +105,15 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
     Other columns of ``docs``, whatever their names, are not read.
     """
     keyed = with_row_keys(docs.select("doc_id", "text"))
-    ids = name_documents(keyed, block_chars)
+    ids = stored(name_documents(keyed, block_chars), "ids")
     first = F.struct(
         (-F.col("n_points")).alias("order_points"),
         F.col("doc_id").isNull().alias("order_null"),
         F.col("doc_id").alias("keep_id"),
         F.col("row").alias("keep_row"),
     )
-    groups = ids.groupBy("n_blocks", "name").agg(F.min(first).alias("keep"), F.count("*").alias("group_size"))
+    # both sides of the last join are tables, so that a group of very many copies can be split
+    groups = stored(ids.groupBy("n_blocks", "name").agg(F.min(first).alias("keep"), F.count("*").alias("group_size")), "groups")
     return ids.join(groups, ["n_blocks", "name"]).select(
         "doc_id",
         F.col("keep.keep_id").alias("keep_id"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from furlens.llm import exact_dedup, packing, toxicity
+from furlens.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
 
 REGISTERED = {
     "op2_nn_pu": (toxicity.op2_nn_pu, None),
     "op3_block_naming": (exact_dedup.op3_block_naming, exact_dedup.OP3_SQL),
     "op8_power_of_two": (packing.op8_power_of_two, None),
+    "op9_temperature": (mixing.op9_temperature, mixing.OP9_SQL),
+    "op10_metric_join": (jaccard_join.op10_metric_join, jaccard_join.OP10_SQL),
 }
