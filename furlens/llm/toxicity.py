@@ -180,8 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     prior = float(share or 0.0)
     texts = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     positives = F.broadcast(_sample(known.filter("toxic = 1").select("doc_id"), max_positive))
-    unread = texts.select("doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % HELD_OUT != 0).join(known.select("doc_id"), "doc_id", "left_anti").distinct()
-    unlabelled = F.broadcast(_sample(stored(unread, "unlabelled"), max_unlabelled))
+    # the unlabelled rows are a sample of all, the known toxic ones included: their labels are not looked at
+    others = texts.select("doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % HELD_OUT != 0)
+    unlabelled = F.broadcast(_sample(others, max_unlabelled).distinct())
     sample = texts.join(positives.withColumn("positive", F.lit(True)).union(unlabelled.withColumn("positive", F.lit(False))).hint("broadcast"), "doc_id")
     sample = stored(sample.select("text", "positive", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CLASSIFIERS)).alias("part")), "sample")
 
