@@ -78,11 +78,9 @@ class WordEncoder:
         coded = split.flatten().dictionary_encode()
         distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         core = pc.utf8_rtrim(distinct, characters=TAIL_MARKS)
-        cut = pc.utf8_is_alpha(pc.utf8_slice_codeunits(core, -1, 2**31 - 1))
+        cut = pc.utf8_is_alpha(pc.utf8_slice_codeunits(core, -1))
         core = pc.if_else(cut, core, distinct)
-        tail = pc.binary_slice(distinct.cast(pa.large_binary()), 0, None)
-        lengths = pc.binary_length(core).to_numpy(zero_copy_only=False)
-        tail = pa.array([t[n:].decode() for t, n in zip(tail.to_pylist(), lengths.tolist())], pa.large_string())
+        tail = pa.array([w[len(c) :] for w, c in zip(distinct.to_pylist(), core.to_pylist())], pa.large_string())
         cores, tails = core.dictionary_encode(), tail.dictionary_encode()
         known = cores.dictionary.to_pylist() + tails.dictionary.to_pylist()
         ids, counts = self._ids(known)
