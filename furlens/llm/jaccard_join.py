@@ -17,10 +17,12 @@ with it. Sets within the threshold are in the pivot's ball, one component, and
 need no further comparison among themselves. A pair with a member outside the
 ball can only be linked if both differ from the pivot in a common element
 (otherwise J(x, y) <= min(J(x, p), J(y, p)), which is below the threshold), and
-if their distances to the pivot differ by at most 1 - t. So the members are
-dealt again, by their rarest differences and by rings around the pivot with
-replication to the next ring, to smaller regions, which are joined the same way
-until none is left. Pivots grow strictly along a chain of regions, so it ends.
+if their distances to the pivot differ by at most 1 - t. A region of bounded
+size is then joined in one task through an index of the differences. The members
+of a larger one are dealt again, by their rarest differences and by rings around
+the pivot with replication to the next ring, to smaller regions, which are
+joined the same way until none is left. A region never holds its parent's pivot,
+so it ends.
 
 Equal sets are one set from the start. All loops run in Spark; what reaches the
 driver are counts.
@@ -44,6 +46,8 @@ from furlens.llm.common import small, stored, table, text_or_empty, with_row_key
 from furlens.llm.components import components
 
 CLASS_RATIO = 1.5
+REGION_ROWS = 4096  # a region up to this size, and up to so many differences, is joined in one task
+REGION_ELEMENTS = 1_000_000
 
 
 def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -100,10 +104,6 @@ class Bounds:
         """Most elements in which linked sets of these sizes can differ."""
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
-    def most_for(self, n: int) -> int:
-        """The same for a set of size ``n`` and any partner."""
-        return self.differences(n, n * self.den // self.num)
-
     def size_class(self, c: int) -> tuple[int, int, int, int]:
         """First size, first size beyond, number of parts and empty parts allowed of class ``c``."""
         while len(self.sizes) <= c:
@@ -177,56 +177,132 @@ def _fetched(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterat
 
 
 def _compared(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.RecordBatch]:
-    """Distance of each set to its pivot, as link flag, ring, and the elements in which they differ."""
+    """Distance of each set to its pivot, as link flag and ring, and the elements in which they differ."""
     num, den = bounds.num, bounds.den
     for batch in batches:
-        p, sid, mine, other = batch.columns
+        cell, p, sid, mine, other = batch.columns
         a, a0 = mine.flatten().to_numpy().view(np.uint64), mine.offsets.to_numpy() - mine.offsets[0].as_py()
         b, b0 = other.flatten().to_numpy().view(np.uint64), other.offsets.to_numpy() - other.offsets[0].as_py()
-        linked, ring, reach, lengths, parts = [], [], [], [], []
+        sizes, linked, ring, parts = np.diff(a0), [], [], []
         for i in range(batch.num_rows):
             x, y = a[a0[i] : a0[i + 1]], b[b0[i] : b0[i + 1]]
             delta = np.setxor1d(x, y, assume_unique=True)
             union = (len(x) + len(y) + len(delta)) // 2
             linked.append(den * (union - len(delta)) >= num * union)
             ring.append(len(delta) * den // (union * (den - num)) if den > num else 0)
-            reach.append(bounds.most_for(len(x)))
-            lengths.append(len(delta))
             parts.append(delta)
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)),
-            pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, dtype=np.int64)),
-        )
-        yield pa.RecordBatch.from_arrays([p, sid, pa.array(linked, pa.bool_()), pa.array(ring, pa.int32()), pa.array(reach, pa.int32()), lists], names=["p", "sid", "linked", "ring", "reach", "delta"])
+        offsets = np.concatenate([[0], np.cumsum([len(d) for d in parts])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, dtype=np.int64)))
+        yield pa.RecordBatch.from_arrays([cell, p, sid, pa.array(sizes, pa.int32()), pa.array(linked, pa.bool_()), pa.array(ring, pa.int32()), lists], names=COMPARED)
+
 
+COMPARED = ["cell", "p", "sid", "size", "linked", "ring", "delta"]
+COMPARED_TYPES = "cell long, p long, sid long, size int, linked boolean, ring int, delta array<long>"
 
-def _members(regions: DataFrame, needed: bool) -> DataFrame:
-    """(p, sid): every set of a region with the region's smallest set, its pivot.
 
-    Regions of one pivot become one. Minima are combined before the shuffle,
-    and the join back can split a crowded region.
+def join_region(sids: np.ndarray, sizes: np.ndarray, linked: np.ndarray, delta: np.ndarray, offsets: np.ndarray, bounds: Bounds) -> list[tuple[int, int]]:
+    """Links that connect what is connected in a region, given each set's differences from the pivot.
+
+    Only pairs with a set outside the pivot's ball are looked at, and only those
+    that share a difference; a set that is already connected is not linked twice.
+    """
+    num, den = bounds.num, bounds.den
+    n = np.diff(offsets)
+    owner = np.repeat(np.arange(len(sids)), n)
+    _, code, times = np.unique(delta, return_inverse=True, return_counts=True)
+    by_element = owner[np.argsort(code, kind="stable")]
+    starts = np.cumsum(times) - times
+    root = np.arange(len(sids))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    ball = np.flatnonzero(linked)
+    if len(ball):
+        root[ball] = ball[0]
+    links = []
+    for i in np.flatnonzero(~linked).tolist():
+        own = code[offsets[i] : offsets[i + 1]]
+        own = own[times[own] > 1]
+        if not len(own):
+            continue
+        m = times[own]
+        ends = np.cumsum(m)
+        others = by_element[np.arange(ends[-1]) + np.repeat(starts[own] - (ends - m), m)]
+        shared = np.bincount(others, minlength=len(sids))
+        differing = n + n[i] - 2 * shared
+        union = (sizes + sizes[i] + differing) // 2
+        near = np.flatnonzero((shared > 0) & (den * (union - differing) >= num * union))
+        for j in near.tolist():
+            a, b = find(i), find(j)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                links.append((int(sids[i]), int(sids[j])))
+    return links
+
+
+def _joined(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.RecordBatch]:
+    """The links of each region; rows of a region follow each other."""
+    held: list[pa.RecordBatch] = []
+
+    def closed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        region = pa.Table.from_batches(rows).combine_chunks()
+        lists = region["delta"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        cell = region["cell"].to_numpy()
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        delta, cuts = lists.flatten().to_numpy(), np.flatnonzero(np.diff(cell)) + 1
+        sids, sizes, linked = region["sid"].to_numpy(), region["size"].to_numpy().astype(np.int64), region["linked"].to_numpy()
+        links = []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
+            links += join_region(sids[a:b], sizes[a:b], linked[a:b], delta[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bounds)
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # all but the last region of the batch are whole
+        cell = batch.column(0).to_numpy()
+        first_of_last = int(np.flatnonzero(cell == cell[-1])[0])
+        if first_of_last or (held and held[-1].column(0)[0].as_py() != cell[-1]):
+            yield closed([*held, batch.slice(0, first_of_last)])
+            held = []
+        held.append(batch.slice(first_of_last))
+    if held:
+        yield closed(held)
+
+
+def _members(regions: DataFrame, first: bool) -> DataFrame:
+    """(cell, p, sid): every set of a region with the region's smallest set, its pivot.
+
+    Minima are combined before the shuffle, and the join back can split a
+    crowded region. The first regions of one pivot become one.
     """
-    pivots = regions.groupBy("key").agg(F.min("sid").alias("p"), F.max("sid").alias("last"), *([F.bool_or("outside").alias("open")] if needed else []))
-    pivots = pivots.filter("p <> last" + (" and open" if needed else "")).select("key", "p")
-    return regions.select("key", "sid").join(pivots, "key").filter("sid <> p").select("p", "sid").distinct()
-
-
-def _regions(compared: DataFrame) -> DataFrame:
-    """The next regions: members of a pivot that share a rare difference and a ring."""
-    cells = compared.groupBy("p").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("outside")).filter("n > 1 and outside > 0").select("p")
-    rows = compared.join(cells, "p").withColumn("n_delta", F.size("delta"))
-    # at least n_delta - reach elements are shared with a partner, and one in any case
-    rows = rows.withColumn("prefix", F.expr("n_delta - greatest(1, n_delta - reach) + 1"))
-    elements = rows.select("p", "sid", "linked", "ring", "n_delta", "prefix", F.explode("delta").alias("e"))
-    shared = elements.groupBy("p", "e").agg(F.count("*").alias("times")).filter("times > 1")
-    found = elements.join(shared, ["p", "e"])
-    own = Window.partitionBy("p", "sid")  # the differences of one set
+    pivots = regions.groupBy("key").agg(F.min("sid").alias("p"), F.max("sid").alias("last"), *([] if first else [F.bool_or("outside").alias("open")]))
+    pivots = pivots.filter("p <> last" + ("" if first else " and open")).select("key", "p")
+    members = regions.select("key", "sid").join(pivots, "key").filter("sid <> p")
+    return members.select(F.col("p").alias("cell"), "p", "sid").distinct() if first else members.select(F.col("key").alias("cell"), "p", "sid")
+
+
+def _regions(crowded: DataFrame, bounds: Bounds) -> DataFrame:
+    """The next regions: members of a crowded one that share a rare difference and a ring."""
+    rows = crowded.withColumn("n_delta", F.size("delta"))
+    # most differences between a set and any partner, so n_delta - reach elements at least are shared, and one in any case
+    reach = F.floor((F.col("size") + F.floor(F.col("size") * bounds.den / bounds.num)) * (bounds.den - bounds.num) / (bounds.den + bounds.num))
+    rows = rows.withColumn("prefix", F.col("n_delta") - F.greatest(F.lit(1), F.col("n_delta") - reach) + 1)
+    elements = rows.select("cell", "sid", "linked", "ring", "n_delta", "prefix", F.explode("delta").alias("e"))
+    shared = elements.groupBy("cell", "e").agg(F.count("*").alias("times")).filter("times > 1")
+    found = elements.join(shared, ["cell", "e"])
+    own = Window.partitionBy("cell", "sid")  # the differences of one set
     place = F.col("n_delta") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "e"))
     return (
         found.withColumn("place", place)
         .filter("place <= prefix")
-        .select(F.explode(F.array("ring", F.col("ring") + 1)).alias("r"), "p", "e", "sid", (~F.col("linked")).alias("outside"))
-        .select(F.xxhash64("p", "e", "r").alias("key"), "sid", "outside")
+        .select(F.explode(F.array("ring", F.col("ring") + 1)).alias("r"), "cell", "e", "sid", (~F.col("linked")).alias("outside"))
+        .select(F.xxhash64("cell", "e", "r").alias("key"), "sid", "outside")
     )
 
 
@@ -250,7 +326,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
             break
         seed += 1
     regions = source.select("text").mapInArrow(partial(_keyed, words=words, seed=seed, bounds=bounds), "key long, sid long")
-    members = stored(_members(regions, needed=False), "members")
+    members = stored(_members(regions, first=True), "members")
 
     wanted = members.select("sid").union(members.select("p")).distinct()
     places = sets.join(wanted, "sid").groupBy("sid").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "at.*")
@@ -261,11 +337,16 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
     while not members.isEmpty():
         mine = contents.join(small(members), "sid")
         pivots = contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot"))
-        compared = mine.join(pivots, "p").select("p", "sid", "shingles", "pivot")
-        compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), "p long, sid long, linked boolean, ring int, reach int, delta array<long>"), "compared")
-        found = compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b"))
+        compared = mine.join(pivots, "p").select("cell", "p", "sid", "shingles", "pivot")
+        compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), COMPARED_TYPES), "compared")
+        cells = compared.groupBy("cell").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("outside"), F.sum(F.size("delta")).alias("elements"))
+        cells = stored(cells.filter("n > 1 and outside > 0").select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
+        small_regions = compared.join(small(cells.filter("bounded").select("cell")), "cell").select(*COMPARED)
+        joined = small_regions.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
+        found = compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")).union(stored(joined, "joined"))
         links = found if links is None else links.union(found)
-        members = stored(_members(stored(_regions(compared), "regions"), needed=True), "members")
+        crowded = compared.join(small(cells.filter("not bounded").select("cell")), "cell")
+        members = stored(_members(stored(_regions(crowded, bounds), "regions"), first=False), "members")
 
     named = sets.withColumn("root", F.col("sid"))
     if links is not None:
