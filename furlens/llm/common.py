@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +29,40 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below the shared folder and read again: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no later plan reads."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are done and that no plan refers to.
+
+    It does so when the driver's garbage is collected, which can be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+SLICE_BYTES = 4_000_000
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about ``most`` bytes of a text column at most, one row at least."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(lengths) - lengths) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def text_or_empty(name: str = "text") -> Column:

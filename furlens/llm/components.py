@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlens.llm.common import stored
+from furlens.llm.common import discard, stored
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -29,5 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         large = stored(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "large")
         mins = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(mins, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = stored(hung.union(mins.select("a", F.col("m").alias("b"))).distinct(), "links")
+        following = stored(hung.union(mins.select("a", F.col("m").alias("b"))).distinct(), "links")
+        discard(links, large)
+        links = following
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(links.select(F.col("b"), F.col("b"))).distinct()

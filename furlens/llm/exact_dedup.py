@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import WHITE, stored, table, text_or_empty, with_row_keys, without_rows
+from furlens.llm.common import WHITE, discard, free_shuffles, stored, table, text_or_empty, with_row_keys, without_rows
 
 BLOCK_CHARS = 1024
 
@@ -48,7 +48,9 @@ def _block_names(keyed: DataFrame, chars: int) -> tuple[DataFrame, int]:
         names = stored(_numbered(distinct, "block").select("h0", "h1", "name"), "names")
         clashes = names.groupBy("h0", "h1").count().filter("count > 1")
         if clashes.isEmpty():
+            free_shuffles(keyed.sparkSession)
             return names, seed
+        discard(names)
         seed += 1
 
 
@@ -78,6 +80,8 @@ def name_documents(keyed: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFram
         .select("row", "left", "pos", "name"),
         "level",
     )
+    discard(names)
+    done = [level]
     named = level.filter("left = 1").select("row", "name")
     level = level.filter("left > 1")
     while not level.isEmpty():
@@ -91,7 +95,9 @@ def name_documents(keyed: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFram
         named = named.union(level.filter("left = 1").select("row", "name"))
         level = level.filter("left > 1")
     # an empty text has no block; its number of blocks, 0, is its identity
-    return rows.drop("hashes").join(named, "row", "left").withColumn("name", F.coalesce("name", F.lit(-1)))
+    ids = stored(rows.drop("hashes").join(named, "row", "left").withColumn("name", F.coalesce("name", F.lit(-1))), "ids")
+    discard(rows, *done)
+    return ids
 
 
 def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -105,7 +111,7 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
     Other columns of ``docs``, whatever their names, are not read.
     """
     keyed = with_row_keys(docs.select("doc_id", "text"))
-    ids = stored(name_documents(keyed, block_chars), "ids")
+    ids = name_documents(keyed, block_chars)
     first = F.struct(
         (-F.col("n_points")).alias("order_points"),
         F.col("doc_id").isNull().alias("order_null"),

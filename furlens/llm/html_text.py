@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import table
+from furlens.llm.common import sliced, table
 
 # Element names of HTML, fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -184,7 +184,7 @@ def main_text(page: str) -> str:
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 2):
         texts = [main_text(page) for page in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

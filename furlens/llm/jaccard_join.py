@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from furlens.llm.common import small, stored, table, text_or_empty, with_row_keys, without_rows
+from furlens.llm.common import discard, free_shuffles, sliced, small, stored, table, text_or_empty, with_row_keys, without_rows
 from furlens.llm.components import components
 
 CLASS_RATIO = 1.5
@@ -146,7 +146,7 @@ class Bounds:
 
 
 def _identified(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         sets = shingle_sets(batch.column(0), words, seed)
         ids = [set_id(s, seed) if len(s) else (None, None) for s in sets]
         arrays = [*batch.columns[1:], pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in ids], pa.int64()), pa.array([b for _, b in ids], pa.int64())]
@@ -154,7 +154,7 @@ def _identified(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Ite
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], words: int, seed: int, bounds: Bounds) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         seen, keys, sids = set(), [], []
         for shingles in shingle_sets(batch.column(0), words, seed):
             sid = set_id(shingles, seed)[0] if len(shingles) else None
@@ -168,7 +168,7 @@ def _keyed(batches: Iterator[pa.RecordBatch], words: int, seed: int, bounds: Bou
 
 
 def _fetched(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         sets = shingle_sets(batch.column(0), words, seed)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, dtype=np.int64)
@@ -244,21 +244,35 @@ def join_region(sids: np.ndarray, sizes: np.ndarray, linked: np.ndarray, delta:
     return links
 
 
+def _region_links(sids: np.ndarray, pivots: np.ndarray, flat: np.ndarray, offsets: np.ndarray, bounds: Bounds) -> list[tuple[int, int]]:
+    """All links needed in one region; its pivot is one of the sets."""
+    sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    at = int(np.flatnonzero(sids == pivots)[0])
+    delta = [np.setxor1d(x, sets[at], assume_unique=True) for i, x in enumerate(sets) if i != at]
+    others = np.delete(sids, at)
+    sizes, n = np.delete(np.diff(offsets), at), np.array([len(d) for d in delta])
+    union = (sizes + len(sets[at]) + n) // 2
+    linked = bounds.den * (union - n) >= bounds.num * union
+    links = [(int(x), int(sids[at])) for x in others[linked]]
+    if len(others) > 1 and not linked.all():
+        links += join_region(others, sizes, linked, np.concatenate(delta), np.concatenate([[0], np.cumsum(n)]), bounds)
+    return links
+
+
 def _joined(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.RecordBatch]:
     """The links of each region; rows of a region follow each other."""
     held: list[pa.RecordBatch] = []
 
     def closed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         region = pa.Table.from_batches(rows).combine_chunks()
-        lists = region["delta"].combine_chunks()
+        lists = region["shingles"].combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        cell = region["cell"].to_numpy()
+        cell, p, sids = (region[c].to_numpy() for c in ("cell", "p", "sid"))
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        delta, cuts = lists.flatten().to_numpy(), np.flatnonzero(np.diff(cell)) + 1
-        sids, sizes, linked = region["sid"].to_numpy(), region["size"].to_numpy().astype(np.int64), region["linked"].to_numpy()
+        flat, cuts = lists.flatten().to_numpy().view(np.uint64), np.flatnonzero(np.diff(cell)) + 1
         links = []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
-            links += join_region(sids[a:b], sizes[a:b], linked[a:b], delta[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bounds)
+            links += _region_links(sids[a:b], p[a:b], flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bounds)
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
 
     for batch in batches:
@@ -327,30 +341,41 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
         seed += 1
     regions = source.select("text").mapInArrow(partial(_keyed, words=words, seed=seed, bounds=bounds), "key long, sid long")
     members = stored(_members(regions, first=True), "members")
+    del regions
+    free_shuffles(docs.sparkSession)
 
     wanted = members.select("sid").union(members.select("p")).distinct()
-    places = sets.join(wanted, "sid").groupBy("sid").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "at.*")
-    texts = source.select("text", "row_file", "row_index").join(small(stored(places, "places")), ["row_file", "row_index"])
+    places = stored(sets.join(small(wanted), "sid").groupBy("sid", "n_shingles").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "n_shingles", "at.*"), "places")
+    texts = source.select("text", "row_file", "row_index").join(small(places), ["row_file", "row_index"])
     contents = stored(texts.select("text", "sid").mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
 
-    links = None
+    links = []
     while not members.isEmpty():
-        mine = contents.join(small(members), "sid")
-        pivots = contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot"))
-        compared = mine.join(pivots, "p").select("cell", "p", "sid", "shingles", "pivot")
+        all_rows = members.union(members.select("cell", "p", F.col("p").alias("sid")).distinct())
+        sized = all_rows.join(small(places.select("sid", "n_shingles")), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+        cells = stored(sized.select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
+        # regions of bounded size: each in one task
+        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").select("cell", "p", "sid")
+        held = contents.join(small(held), "sid").select("cell", "p", "sid", "shingles")
+        joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
+        links.append(stored(joined, "joined"))
+        # crowded ones: all members against the pivot, and what is left to smaller regions
+        held = members.join(small(cells.filter("not bounded").select("cell")), "cell").select("cell", "p", "sid")
+        mine = contents.join(small(held), "sid")
+        compared = mine.join(contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot")), "p").select("cell", "p", "sid", "shingles", "pivot")
         compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), COMPARED_TYPES), "compared")
-        cells = compared.groupBy("cell").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("outside"), F.sum(F.size("delta")).alias("elements"))
-        cells = stored(cells.filter("n > 1 and outside > 0").select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
-        small_regions = compared.join(small(cells.filter("bounded").select("cell")), "cell").select(*COMPARED)
-        joined = small_regions.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
-        found = compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")).union(stored(joined, "joined"))
-        links = found if links is None else links.union(found)
-        crowded = compared.join(small(cells.filter("not bounded").select("cell")), "cell")
-        members = stored(_members(stored(_regions(crowded, bounds), "regions"), first=False), "members")
+        links.append(stored(compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")), "compared"))
+        regions = stored(_regions(compared, bounds), "regions")
+        following = stored(_members(regions, first=False), "members")
+        discard(members, cells, compared, regions)
+        members = following
+        free_shuffles(docs.sparkSession)
+    discard(members, places, contents)
 
     named = sets.withColumn("root", F.col("sid"))
-    if links is not None:
-        roots = stored(components(links), "roots")
+    if links:
+        roots = stored(components(reduce(DataFrame.union, links)), "roots")
+        discard(*links)
         named = sets.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
     ids = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return named.join(ids, "root", "left").select(

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import small, stored, table, text_or_empty
+from furlens.llm.common import sliced, small, stored, table, text_or_empty
 from furlens.llm.html_text import main_text
 
 MAX_TRAINING = 20_000  # expected bound of the sample of labelled documents
@@ -49,7 +49,7 @@ def trigram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         languages = batch.column(1).to_pylist()
         bucket, bounds = trigram_buckets(batch.column(0))
         totals: dict[str, np.ndarray] = {}
@@ -65,7 +65,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _likelihoods(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Log likelihood of each page's text under each language, at most EVIDENCE trigrams strong."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in sliced([whole], whole.num_columns - 1)):
         texts = pa.array([main_text(page) for page in batch.column(batch.num_columns - 1).to_pylist()], pa.string())
         bucket, bounds = trigram_buckets(texts)
         scores = np.zeros((len(texts), len(model)))

@@ -19,10 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import table, text_or_empty
+from furlens.llm.common import sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
+MOST_WORDS = 300_000  # remembered by a task
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -36,7 +37,7 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids of white-space separated words, each distinct word of a batch encoded once.
+    """Ids of white-space separated words, each distinct word encoded once while it is remembered.
 
     For tokenizers that drop white space, the ids of a text are those of its
     words in a row; marks that end a word after a letter are again a token group
@@ -49,6 +50,22 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.per_call = per_call
         self.delimiter = self.tokenizer.token_to_id(DELIMITER)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where the ids of each word begin and end in what is remembered."""
+        unknown = [w for w in dict.fromkeys(words) if w not in self.place]
+        if unknown:
+            ids, counts = self._ids(unknown)
+            self.place.update(zip(unknown, range(len(self.place), len(self.place) + len(unknown))))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.fromiter((self.place[w] for w in words), dtype=np.int64, count=len(words))
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the number of ids of each word."""
@@ -82,17 +99,17 @@ class WordEncoder:
         core = pc.if_else(cut, core, distinct)
         tail = pa.array([w[len(c) :] for w, c in zip(distinct.to_pylist(), core.to_pylist())], pa.large_string())
         cores, tails = core.dictionary_encode(), tail.dictionary_encode()
-        known = cores.dictionary.to_pylist() + tails.dictionary.to_pylist()
-        ids, counts = self._ids(known)
-        starts = np.concatenate([[0], np.cumsum(counts)])[:-1] if len(counts) else np.zeros(0, dtype=np.int64)
+        if len(self.place) > MOST_WORDS:
+            self._forget()
+        core_place, tail_place = self.places(cores.dictionary.to_pylist()), self.places(tails.dictionary.to_pylist())
         pieces = np.empty((len(codes), 2), dtype=np.int64)
-        pieces[:, 0] = cores.indices.to_numpy(zero_copy_only=False)[codes]
-        pieces[:, 1] = tails.indices.to_numpy(zero_copy_only=False)[codes] + len(cores.dictionary)
+        pieces[:, 0] = core_place[cores.indices.to_numpy(zero_copy_only=False)][codes]
+        pieces[:, 1] = tail_place[tails.indices.to_numpy(zero_copy_only=False)][codes]
         pieces = pieces.ravel()
-        n = counts[pieces] if len(counts) else np.zeros(0, dtype=np.int64)
+        n = self.counts[pieces]
         ends = np.cumsum(n)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[pieces] - (ends - n), n)
-        flat = ids[where]
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[pieces] - (ends - n), n)
+        flat = self.ids[where]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(2 * words_in)]).astype(np.int64)]
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
@@ -105,7 +122,7 @@ def piece_lengths(n: int, longest: int) -> list[int]:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder = None
-    for batch in batches:
+    for batch in sliced(batches, 1):
         encoder = encoder or WordEncoder(path)
         out = [[] for _ in range(5)]
         for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1))):

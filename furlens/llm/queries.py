@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from furlens.llm import chat, exact_dedup, jaccard_join, mixing, packing, topk, toxicity
+from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, mixing, packing, topk, toxicity
 
 REGISTERED = {
     "op2_nn_pu": (toxicity.op2_nn_pu, None),
     "op3_block_naming": (exact_dedup.op3_block_naming, exact_dedup.OP3_SQL),
+    "op4_tag_paths": (html_text.op4_tag_paths, None),
     "op5_state_machine": (chat.op5_state_machine, chat.OP5_SQL),
+    "op6_evidence": (language.op6_evidence, None),
     "op7_kd_trees": (topk.op7_kd_trees, topk.OP7_SQL),
     "op8_power_of_two": (packing.op8_power_of_two, None),
     "op9_temperature": (mixing.op9_temperature, mixing.OP9_SQL),

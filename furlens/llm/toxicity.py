@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import stored, table, text_or_empty
+from furlens.llm.common import sliced, stored, table, text_or_empty
 
 MAX_POSITIVE = 20_000  # expected bound of the sample of labelled rows
 MAX_UNLABELLED = 20_000
@@ -55,7 +55,7 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, texts, positive texts), summed over each batch."""
-    for batch in batches:
+    for batch in sliced(batches, 0):
         counts, words, codes = _words(batch.column(0))
         positive = np.asarray(batch.column(1).to_pylist(), dtype=bool)
         ids: dict[str, int] = {}
@@ -114,7 +114,7 @@ def nn_pu_fit(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = ST
 
 def _vectors(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     vectors = Vectors(names)
-    for batch in batches:
+    for batch in sliced(batches, 0):
         for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
             x = vectors.matrix(part.column(0)).astype(np.float32)
             yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array([r.tobytes() for r in x], pa.binary())], names=["positive", "part", "x"])
@@ -129,7 +129,7 @@ def _train(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
 def _score(batches: Iterator[pa.RecordBatch], names: list[str], weights: np.ndarray, steady: float) -> Iterator[pa.RecordBatch]:
     vectors = Vectors(names)
     for batch in batches:
-        for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+        for part in (part.slice(i, 1000) for part in sliced([batch], batch.num_columns - 1) for i in range(0, part.num_rows, 1000)):
             z = vectors.matrix(part.column(batch.num_columns - 1)) @ weights[:-1] + weights[-1] if len(weights) else np.full(part.num_rows, steady)
             score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             columns = [part.column(i) for i in range(batch.num_columns - 1)]
