@@ -83,6 +83,11 @@ def _mask(band: int) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
+def _ordered(band: int) -> Column:
+    """The shingle hashes as numbers in the order of a band."""
+    return F.transform("h", lambda x: x.bitwiseXOR(F.lit(_mask(band))))
+
+
 def _shingle_hashes(words: Column) -> Column:
     starts = F.when(F.size(words) >= WORDS, F.sequence(F.lit(0), F.size(words) - WORDS)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.xxhash64(*[F.get("hashed", i + j) for j in range(WORDS)]))
@@ -104,7 +109,6 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment:
 
     listed = [(g, name, i, Group.shingles(words)) for g, group in enumerate(groups) for i, (name, words) in enumerate(group.templates.items())]
     known = spark.createDataFrame([(g, name, shingles) for g, name, _, shingles in listed], "group int, license string, shingles array<string>")
-    word_hashes = F.transform(F.split(F.col("s"), " "), lambda w: F.xxhash64(w))
     hashes = F.transform("shingles", lambda s: F.xxhash64(*[F.get(F.transform(F.split(s, " "), lambda w: F.xxhash64(w)), F.lit(j)) for j in range(WORDS)]))
     minima = F.transform(F.array(*[F.lit(_mask(b)) for b in range(most)]), lambda m: F.array_min(F.transform("hashes", lambda h: h.bitwiseXOR(m))))
     known = known.withColumn("hashes", hashes).withColumn("minima", minima)
@@ -117,7 +121,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment:
     rows = with_columns_once(docs.select("doc_id", text_or_empty().alias("text")), {"words": words}).drop("text")
     rows = with_columns_once(rows, {"hashed": F.transform("words", lambda w: F.xxhash64(w))})
     rows = with_columns_once(rows, {"h": _shingle_hashes(F.col("words"))}).drop("hashed")
-    rows = with_columns_once(rows, {"orders": F.array(*[F.transform("h", lambda x, m=_mask(b): x.bitwiseXOR(F.lit(m))) for b in range(most)])})
+    rows = with_columns_once(rows, {"orders": F.array(*[_ordered(b) for b in range(most)])})
 
     def starts(g: int, group: Group) -> Column:
         """Where windows begin that share a band with a template of the group."""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, mixing, packing, topk, toxicity
+from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, licenses, mixing, packing, topk, toxicity
 
 REGISTERED = {
+    "op1_license_windows": (licenses.op1_license_windows, licenses.OP1_SQL),
     "op2_nn_pu": (toxicity.op2_nn_pu, None),
     "op3_block_naming": (exact_dedup.op3_block_naming, exact_dedup.OP3_SQL),
     "op4_tag_paths": (html_text.op4_tag_paths, None),
