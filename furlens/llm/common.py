@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,9 +47,12 @@ def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs that are done and that no plan refers to.
 
     It does so when the driver's garbage is collected, which can be long after.
+    Python's references go first, and Spark's cleaner works on its own thread.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 SLICE_BYTES = 4_000_000
