@@ -28,6 +28,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 DELIMITER = "<|endoftext|>"
+SPECIAL = "<|"  # how special tokens begin
 
 
 def default_tokenizer() -> str:
@@ -90,13 +91,16 @@ class WordEncoder:
 
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        texts = texts.cast(pa.large_string())
+        # special tokens are matched before letters are lower-cased, so texts that may hold one stay as they are
+        special = pc.any(pc.match_substring(texts, SPECIAL)).as_py()
+        split = pc.ascii_split_whitespace(texts if special else pc.ascii_lower(texts))
         words_in = np.diff(split.offsets.to_numpy(zero_copy_only=False))
         coded = split.flatten().dictionary_encode()
         distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         core = pc.utf8_rtrim(distinct, characters=TAIL_MARKS)
         cut = pc.utf8_is_alpha(pc.utf8_slice_codeunits(core, -1))
-        core = pc.if_else(cut, core, distinct)
+        core = pc.if_else(pc.and_not(cut, pc.match_substring(distinct, SPECIAL)), core, distinct)
         tail = pa.array([w[len(c) :] for w, c in zip(distinct.to_pylist(), core.to_pylist())], pa.large_string())
         cores, tails = core.dictionary_encode(), tail.dictionary_encode()
         if len(self.place) > MOST_WORDS:
