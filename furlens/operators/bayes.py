@@ -48,7 +48,8 @@ def fit(train: DataFrame, features: str = "features", label: str = "label") -> l
         sum(m["n"] * (m["var"][i] + (m["mean"][i] - overall[i]) ** 2) for m in classes) / rows
         for i in range(len(classes[0]["mean"]))
     ]
-    floor = VAR_SMOOTHING * max(pooled)
+    # if no feature varies, any floor gives the same scores
+    floor = VAR_SMOOTHING * max(pooled) or VAR_SMOOTHING
     models = []
     for m in sorted(classes, key=lambda m: m["label"]):
         var = [v + floor for v in m["var"]]

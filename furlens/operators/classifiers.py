@@ -30,15 +30,16 @@ from pyspark.sql.types import ArrayType, DoubleType
 from furlens.functions.kernel import N_FEATURES
 from furlens.operators import bayes, neighbors
 from furlens.operators.scaling import scale, scaler
+from furlens.operators.split import bounded_rows
 
 SEED = 42
 ROWS_PER_PARTITION = 20_000
-# Fully grown trees are the published setting; MLlib allows 30 levels. Each
-# level costs passes over the data and every leaf costs driver memory, so large
-# training sets stop earlier.
+# Fully grown trees are the published setting; MLlib allows 30 levels. The same
+# depth holds for every size; ``max_train_rows`` bounds the fitted rows instead,
+# because each leaf costs driver memory.
 FULL_DEPTH = 30
-LARGE_ROWS = 1_000_000
-LARGE_DEPTH = 12
+MAX_TREE_ROWS = 1_000_000
+MAX_SVM_ROWS = 200_000  # a lifted row takes 4 KB
 
 
 @dataclass(frozen=True)
@@ -79,17 +80,14 @@ def _mllib(estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     return _plain(model.transform(_vectors(test)))
 
 
-def tree_depth(rows: int) -> int:
-    return FULL_DEPTH if rows <= LARGE_ROWS else LARGE_DEPTH
+def random_forest(train: DataFrame, test: DataFrame, trees: int = 100, depth: int = FULL_DEPTH, max_train_rows: int | None = MAX_TREE_ROWS) -> DataFrame:
+    train = bounded_rows(train, "image_id", max_train_rows)
+    return _mllib(RandomForestClassifier(numTrees=trees, seed=SEED, maxDepth=depth), train, test)
 
 
-def random_forest(train: DataFrame, test: DataFrame, trees: int = 100) -> DataFrame:
-    est = RandomForestClassifier(numTrees=trees, seed=SEED, maxDepth=tree_depth(train.count()))
-    return _mllib(est, train, test)
-
-
-def decision_tree(train: DataFrame, test: DataFrame) -> DataFrame:
-    return _mllib(DecisionTreeClassifier(seed=SEED, maxDepth=tree_depth(train.count())), train, test)
+def decision_tree(train: DataFrame, test: DataFrame, depth: int = FULL_DEPTH, max_train_rows: int | None = MAX_TREE_ROWS) -> DataFrame:
+    train = bounded_rows(train, "image_id", max_train_rows)
+    return _mllib(DecisionTreeClassifier(seed=SEED, maxDepth=depth), train, test)
 
 
 def logistic(train: DataFrame, test: DataFrame, max_iter: int = 1000) -> DataFrame:
@@ -131,9 +129,12 @@ def fourier_features(dim: int = N_FEATURES, out_dim: int = 512, gamma: float | N
     return lift.asNondeterministic()
 
 
-def kernel_svm(train: DataFrame, test: DataFrame, max_iter: int = 100, dim: int = N_FEATURES) -> DataFrame:
+def kernel_svm(
+    train: DataFrame, test: DataFrame, max_iter: int = 1000, dim: int = N_FEATURES, out_dim: int = 512, max_train_rows: int | None = MAX_SVM_ROWS
+) -> DataFrame:
     """Gaussian-kernel SVM with C = 1, approximated by a linear one on random Fourier features."""
-    lift = fourier_features(dim)
+    lift = fourier_features(dim, out_dim)
+    train = bounded_rows(train, "image_id", max_train_rows)
 
     def lifted(df: DataFrame) -> DataFrame:
         return df.withColumn("features", lift(F.col("features")))
@@ -146,8 +147,8 @@ def naive_bayes(train: DataFrame, test: DataFrame) -> DataFrame:
     return _plain(bayes.predict(test, bayes.fit(train)))
 
 
-def nearest(train: DataFrame, test: DataFrame, k: int = 5) -> DataFrame:
-    return _plain(neighbors.predict(train, test, k))
+def nearest(train: DataFrame, test: DataFrame, k: int = 5, max_train_rows: int = neighbors.MAX_TRAIN_ROWS) -> DataFrame:
+    return _plain(neighbors.predict(train, test, k, max_train_rows=max_train_rows))
 
 
 def default_models() -> list[ModelSpec]:

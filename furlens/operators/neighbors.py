@@ -1,225 +1,78 @@
-"""Exact k-nearest-neighbour classification as a pruned, blocked join.
+"""Exact k-nearest-neighbour classification over a bounded train set.
 
-Train points are grouped into cells around a few pivots (after Lu et al. 2012).
-For a test point the cell radii give an upper bound of its k-th distance and a
-lower bound of its distance to each cell; cells that cannot hold a neighbour
-are skipped, which never changes a result. Cells are cut into blocks of bounded
-size, test points into chunks, and each (block, chunk) pair is one small numpy
-task that returns at most k rows per test point.
-
-Equal vectors are handled once: at most k equal train points can be among the k
-nearest, so the first k by id stand for all, and equal test points share one
-search.
+The train rows are at most ``max_train_rows``, those with the smallest hashes of
+their id; as a matrix they are a few tens of megabytes, which is checked before
+it is broadcast. Test rows stream through Arrow batches: no test row is
+shuffled, no train row is copied, and memory per task is bounded.
 
 Distances are compared after rounding to nine decimals, ties by image id.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from furlens.operators.split import bounded_rows
 
 K = 5
-MAX_PIVOTS = 256
-BLOCK_ROWS = 20_000
-CHUNK_ROWS = 20_000
-ROWS_PER_SQUARED_PIVOT = 50
-_DECIMALS = 9
-_SLACK = 1e-6
-_SLICE_CELLS = 4_000_000
-
-
-def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    return np.asarray(vectors.flatten()).reshape(-1, dim)
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances by summing differences, which keeps equal vectors at exactly zero."""
-    out = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        diff = a[:, i, None] - b[None, :, i]
-        out += diff * diff
-    return out
-
-
-def _steps(n: int, other: int):
-    step = max(1, _SLICE_CELLS // max(1, other))
-    return range(0, n, step), step
-
-
-def _nearest_pivot(pivots: np.ndarray):
-    """Arrow UDF: the nearest pivot and the distance to it."""
-
-    @F.arrow_udf(StructType([StructField("cell", IntegerType()), StructField("dist", DoubleType())]))
-    def assign(vectors: pa.Array) -> pa.Array:
-        x = _matrix(vectors, pivots.shape[1])
-        cell, dist = np.empty(len(x), np.int32), np.empty(len(x))
-        starts, step = _steps(len(x), len(pivots))
-        for lo in starts:
-            d = np.sqrt(_distances(x[lo : lo + step], pivots))
-            cell[lo : lo + step] = d.argmin(axis=1)
-            dist[lo : lo + step] = d.min(axis=1)
-        return pa.StructArray.from_arrays([pa.array(cell), pa.array(dist)], names=["cell", "dist"])
-
-    return assign.asNondeterministic()
-
-
-def _cells_to_visit(pivots: np.ndarray, radius: np.ndarray, kth: np.ndarray):
-    """Arrow UDF: the cells that may hold one of the k nearest.
-
-    ``kth`` is the k-th smallest pivot distance inside a cell (infinite for
-    smaller cells), so pivot distance + kth bounds the k-th neighbour from
-    above. A cell starts no nearer than pivot distance - radius, and its points
-    lie on the far side of the plane between its pivot and the nearest one.
-    """
-    between = np.sqrt(_distances(pivots, pivots))
-
-    @F.arrow_udf(ArrayType(IntegerType()))
-    def visit(vectors: pa.Array) -> pa.Array:
-        x = _matrix(vectors, pivots.shape[1])
-        lists = []
-        starts, step = _steps(len(x), len(pivots))
-        for lo in starts:
-            d = np.sqrt(_distances(x[lo : lo + step], pivots))
-            upper = (d + kth).min(axis=1, keepdims=True)
-            home = d.argmin(axis=1)
-            near = d[np.arange(len(d)), home][:, None]
-            gap = between[home]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(gap > 0, (d * d - near * near) / (2 * gap), 0.0)
-            lower = np.maximum(d - radius, plane)
-            may = (lower <= upper * (1 + _SLACK) + _SLACK) & (radius >= 0)
-            lists += [np.flatnonzero(row).astype(np.int32) for row in may]
-        return pa.array(lists, type=pa.list_(pa.int32()))
-
-    return visit.asNondeterministic()
-
-
-def _search(k: int):
-    def search(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        """The k nearest train rows of one block for every test row of one chunk."""
-        empty = pd.DataFrame({"features": [], "d2": [], "image_id": [], "label": []})
-        if not len(test) or not len(train):
-            return empty
-        train = train.sort_values("image_id", kind="stable")
-        b = np.stack(train["features"].to_numpy())
-        a = np.stack(test["features"].to_numpy())
-        ids, labels = train["image_id"].to_numpy(), train["label"].to_numpy()
-        take = min(k, len(b))
-        found = []
-        starts, step = _steps(len(a), len(b))
-        for lo in starts:
-            d2 = np.round(_distances(a[lo : lo + step], b), _DECIMALS)
-            limit = np.partition(d2, take - 1, axis=1)[:, take - 1]
-            for row, top, vector in zip(d2, limit, a[lo : lo + step]):
-                near = np.flatnonzero(row <= top)
-                near = near[np.argsort(row[near], kind="stable")][:take]
-                found.append((vector, row[near], ids[near], labels[near]))
-        return pd.DataFrame(
-            {
-                "features": [v for v, d, _, _ in found for _ in d],
-                "d2": np.concatenate([d for _, d, _, _ in found]),
-                "image_id": np.concatenate([i for _, _, i, _ in found]),
-                "label": np.concatenate([c for _, _, _, c in found]),
-            }
-        )
-
-    return search
-
-
-def _distinct_train(train: DataFrame, k: int) -> DataFrame:
-    first = F.row_number().over(Window.partitionBy("features").orderBy("image_id"))
-    return train.withColumn("_r", first).filter(F.col("_r") <= k).drop("_r")
-
-
-def _cell_table(placed: DataFrame, k: int, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, radius and k-th smallest pivot distance per cell. One row per pivot reaches the driver."""
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("dist"))
-    kth_rows = placed.withColumn("_r", rank).filter(F.col("_r") <= k)
-    kth = kth_rows.groupBy("cell").agg(F.max("dist").alias("kth"), F.count(F.lit(1)).alias("m"))
-    size = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius"))
-    rows = size.join(kth, "cell").collect()
-    count, radius = np.zeros(cells, np.int64), np.full(cells, -1.0)
-    bound = np.full(cells, np.inf)
-    for r in rows:
-        count[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
-        if r["m"] >= k:
-            bound[r["cell"]] = r["kth"]
-    return count, radius, bound
-
-
-def _pick_pivots(train: DataFrame, n: int) -> np.ndarray:
-    """``n`` distinct train vectors in hash order: reproducible and free of the data's order."""
-    picked = train.select("features").distinct().orderBy(F.xxhash64("features")).limit(n).collect()
-    return np.array([r["features"] for r in picked])
-
-
-def neighbours(
-    train: DataFrame,
-    test: DataFrame,
-    k: int = K,
-    max_pivots: int = MAX_PIVOTS,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(features, d2, image_id, label): the k nearest train rows of each distinct test vector.
-
-    ``train`` needs image_id, label and features, ``test`` features. Both are
-    read several times; persist or store them first.
-    """
-    spark = train.sparkSession
-    train = _distinct_train(train.select("image_id", "label", "features"), k)
-    points = test.select("features").distinct()
-    n_train, n_test = train.count(), points.count()
-    if not n_train or not n_test:
-        return spark.createDataFrame([], "features array<double>, d2 double, image_id string, label int")
-    chunks = max(1, math.ceil(n_test / CHUNK_ROWS))
-    left = points.withColumn("chunk", F.pmod(F.xxhash64("features"), F.lit(chunks)).cast("int"))
-    if n_train <= block_rows:
-        # One block holds all train rows: nothing to prune.
-        zero = F.lit(0)
-        left = left.withColumns({"cell": zero, "block": zero})
-        placed, n_blocks = train.withColumn("cell", zero), F.lit(1)
-    else:
-        n_pivots = min(max_pivots, max(1, math.isqrt(n_train // ROWS_PER_SQUARED_PIVOT)))
-        pivots = _pick_pivots(train, n_pivots)
-        at = F.col("_at")
-        placed = train.withColumn("_at", _nearest_pivot(pivots)(F.col("features"))).select(
-            "image_id", "label", "features", at["cell"].alias("cell"), at["dist"].alias("dist")
-        )
-        count, radius, kth = _cell_table(placed, k, len(pivots))
-        sizes = [F.lit(max(1, math.ceil(n / block_rows))) for n in count]
-        n_blocks = F.get(F.array(*sizes), F.col("cell"))
-        visits = F.explode(_cells_to_visit(pivots, radius, kth)(F.col("features")))
-        left = left.withColumn("cell", visits).withColumn(
-            "block", F.explode(F.sequence(F.lit(0), n_blocks - 1))
-        )
-    right = placed.withColumn(
-        "block", F.pmod(F.xxhash64("image_id", "features"), n_blocks).cast("int")
-    ).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    keys = ("cell", "block", "chunk")
-    found = (
-        left.groupBy(*keys)
-        .cogroup(right.select("image_id", "label", "features", *keys).groupBy(*keys))
-        .applyInPandas(
-            _search(k),
-            "features array<double>, d2 double, image_id string, label int",
-        )
-    )
-    rank = F.row_number().over(Window.partitionBy("features").orderBy("d2", "image_id"))
-    return found.withColumn("_r", rank).filter(F.col("_r") <= k).drop("_r")
-
-
-def predict(train: DataFrame, test: DataFrame, k: int = K, out: str = "prediction") -> DataFrame:
+MAX_TRAIN_ROWS = 100_000
+MAX_BROADCAST_BYTES = 256 * 2**20
+CELLS_PER_STEP = 4_000_000  # distances held at a time
+
+
+def train_matrix(train: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids in order, labels and vectors of the bounded train rows."""
+    rows = bounded_rows(train, "image_id", max_train_rows).select("image_id", "label", "features").toArrow()
+    n = rows.num_rows
+    vectors = rows["features"].combine_chunks()
+    vectors = np.asarray(vectors.flatten()).reshape(n, -1) if n else np.zeros((0, 0))
+    if vectors.nbytes > MAX_BROADCAST_BYTES:
+        raise ValueError(f"{vectors.nbytes} bytes of train vectors; lower max_train_rows")
+    ids = np.array(rows["image_id"].to_pylist(), dtype=object)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], rows["label"].to_numpy()[order], vectors[order]
+
+
+def nearest_rows(x: np.ndarray, train: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the k nearest train rows of each row of ``x`` and their squared distances, ties to the earlier row."""
+    k = min(k, len(train))
+    step = max(1, CELLS_PER_STEP // max(1, len(train)))
+    places, distances = [np.zeros((0, k), np.int64)], [np.zeros((0, k))]
+    squares = (train**2).sum(1)
+    for a in range(0, len(x), step):
+        part = x[a : a + step]
+        rough = squares - 2 * part @ train.T
+        # candidates by the fast formula with a margin for its error, then exact differences
+        top = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        margin = 1e-6 * (1 + (part**2).sum(1) + squares.max())
+        for row, limit, point in zip(rough, top + margin, part):
+            near = np.flatnonzero(row <= limit)
+            d2 = np.round(((train[near] - point) ** 2).sum(1), 9)
+            best = np.argsort(d2, kind="stable")[:k]
+            places.append(near[best][None])
+            distances.append(d2[best][None])
+    return np.concatenate(places), np.concatenate(distances)
+
+
+def predict(train: DataFrame, test: DataFrame, k: int = K, out: str = "prediction", max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """Add the majority label of the k nearest train rows; the smaller label wins a tie."""
-    near = neighbours(train, test, k)
-    votes = near.groupBy("features", "label").agg(F.count(F.lit(1)).alias("n"))
-    winner = votes.groupBy("features").agg(
-        F.max(F.struct(F.col("n"), (-F.col("label")).alias("neg"))).alias("w")
-    ).select("features", (-F.col("w.neg")).alias(out))
-    return test.join(winner, "features")
+    _, labels, vectors = train_matrix(train, max_train_rows)
+    if not len(labels):
+        return test.limit(0).withColumn(out, F.lit(None).cast("int"))
+    shared = train.sparkSession.sparkContext.broadcast((labels, vectors))
+
+    def vote(batches):
+        labels, vectors = shared.value
+        classes, codes = np.unique(labels, return_inverse=True)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("features"))
+            x = np.asarray(column.flatten()).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, vectors.shape[1]))
+            places, _ = nearest_rows(x, vectors, k)
+            votes = (codes[places][:, :, None] == np.arange(len(classes))).sum(1)
+            winner = classes[votes.argmax(1)] if len(votes) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(winner.astype(np.int32))], names=[*batch.schema.names, out])
+
+    return test.mapInArrow(vote, StructType([*test.schema.fields, StructField(out, IntegerType())]))

@@ -26,16 +26,19 @@ def population_variance(summary) -> list[float]:
     return [v * (n - 1) / n for v in summary["variance"]]
 
 
+CONSTANT = 1e-12
+
+
 def scaler(train: DataFrame, features: str = "features") -> Scaler:
     """Mean and scale per feature; a constant feature has scale 1.
 
-    One aggregation; two numbers per feature reach the driver.
+    A deviation within the rounding error of its mean counts as constant. One aggregation; two numbers per feature reach the driver.
     """
     summary = train.agg(moments(features).alias("s")).first()["s"]
     if not summary["count"]:
         raise ValueError("no rows to fit the scaler on")
     stds = [math.sqrt(v) for v in population_variance(summary)]
-    return Scaler([float(m) for m in summary["mean"]], [s if s > 0 else 1.0 for s in stds])
+    return Scaler([float(m) for m in summary["mean"]], [s if s > CONSTANT * max(1.0, abs(m)) else 1.0 for s, m in zip(stds, summary["mean"])])
 
 
 def numbers(values: list[float]) -> Column:

@@ -20,11 +20,23 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Key digits added per counting level: two levels of id hash, two of row hash.
-_LEVELS = (4, 12, 4, 12)
+# Key digits added per counting level: four levels of id hash, four of row hash,
+# so that a level counts at most 65,536 prefixes of a label.
+_LEVELS = (4, 4, 4, 4, 4, 4, 4, 4)
 _MAX_LABELS = 1000
 
 
+def bounded_rows(df: DataFrame, id_column: str, most: int | None) -> DataFrame:
+    """About ``most`` rows, those with the smallest hashes of their id; all rows if there are fewer or ``most`` is None.
+
+    The share is computed from one count, so nothing is sorted or gathered.
+    """
+    rows = df.count() if most is not None else 0
+    if most is None or rows <= most:
+        return df
+    return df.filter(F.pmod(F.xxhash64(id_column), F.lit(1 << 40)) < int((1 << 40) * most / rows))
+
+
 @dataclass(frozen=True)
 class Boundary:
     """Rows of ``label`` whose key starts below or with ``prefix`` are test rows.
@@ -43,10 +55,16 @@ class Boundary:
         return self.need == self.inside
 
 
+ID_DIGITS = 16
+
+
+def _id_key(id_column: str, seed: int) -> Column:
+    return F.substring(F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f"|{seed}"))), 1, ID_DIGITS)
+
+
 def _row_key(df: DataFrame, id_column: str, seed: int) -> Column:
-    id_hash = F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f"|{seed}")))
     row_hash = F.lower(F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), 16, "0"))
-    return F.concat(F.substring(id_hash, 1, 16), row_hash)
+    return F.concat(_id_key(id_column, seed), row_hash)
 
 
 def quotas(class_rows: dict, test_fraction: float) -> dict:
@@ -95,8 +113,10 @@ def boundaries(
     df: DataFrame, label: str, id_column: str, test_fraction: float, seed: int
 ) -> list[Boundary]:
     """The key up to which each label's rows are test rows."""
-    keyed = df.select(F.col(label).alias("_label"), _row_key(df, id_column, seed).alias("_key"))
-    sizes = keyed.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).limit(_MAX_LABELS + 1).collect()
+    # the first half of the key needs the id alone; other columns are read only if equal ids are at the boundary
+    by_id = df.select(F.col(label).alias("_label"), _id_key(id_column, seed).alias("_key"))
+    by_row = df.select(F.col(label).alias("_label"), _row_key(df, id_column, seed).alias("_key"))
+    sizes = by_id.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).limit(_MAX_LABELS + 1).collect()
     if len(sizes) > _MAX_LABELS:
         raise ValueError(f"{label} has more than {_MAX_LABELS} distinct values")
     class_rows = {r["_label"]: r["n"] for r in sizes}
@@ -105,7 +125,8 @@ def boundaries(
     quota = quotas(class_rows, test_fraction)
     done = [Boundary(c, "", 0, 0) for c, q in quota.items() if q == 0]
     open_ = [Boundary(c, "", q, class_rows[c]) for c, q in quota.items() if q > 0]
-    for digits in _LEVELS:
+    for level, digits in enumerate(_LEVELS):
+        keyed = by_id if sum(_LEVELS[: level + 1]) <= ID_DIGITS else by_row
         done += [b for b in open_ if b.final]
         open_ = [b for b in open_ if not b.final]
         if open_:

@@ -41,12 +41,18 @@ def ship_package(*others) -> None:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared checkpoint folder of the session.
 
-    Only a session without ``spark.checkpoint.dir``, as in tests, gets a
-    temporary folder.
+    A local session without ``spark.checkpoint.dir``, as in tests, gets a
+    temporary folder; on a cluster the setting is required, because executors
+    do not share local folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         hadoop_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = hadoop_dir.get() if hadoop_dir.isDefined() else tempfile.mkdtemp(prefix="furlens-")
+        if hadoop_dir.isDefined():
+            root = hadoop_dir.get()
+        elif spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+            root = tempfile.mkdtemp(prefix="furlens-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

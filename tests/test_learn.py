@@ -97,25 +97,44 @@ def brute_force(train, test, k=5):
     return want
 
 
-@pytest.mark.parametrize("block_rows, copies", [(20_000, 0), (10, 0), (10, 90), (1000, 90)])
-def test_neighbours_match_brute_force(spark, monkeypatch, block_rows, copies):
-    monkeypatch.setattr(neighbors, "ROWS_PER_SQUARED_PIVOT", 2)
-    monkeypatch.setattr(neighbors, "CHUNK_ROWS", 16)
+@pytest.mark.parametrize("copies", [0, 90])
+def test_neighbours_match_brute_force(spark, copies):
     train, test = labelled(spark, 150, dim=3, copies=copies), labelled(spark, 60, dim=3, seed=5, copies=copies // 2)
-    near = neighbors.neighbours(train, test, block_rows=block_rows)
-    sizes = near.groupBy("features").count().collect()
-    assert {r["count"] for r in sizes} == {5}
-    got = {}
-    votes = near.groupBy("features").agg((F.sum("label") * 2 > F.count("*")).cast("int").alias("p"))
-    for r in test.join(votes, "features").collect():
-        got[r["image_id"]] = r["p"]
+    got = {r["image_id"]: r["prediction"] for r in neighbors.predict(train, test).collect()}
     assert got == brute_force(train.collect(), test.collect())
 
 
 def test_neighbours_with_few_or_no_train_rows(spark):
     few, test = labelled(spark, 4, dim=2), labelled(spark, 6, dim=2, seed=1)
     assert neighbors.predict(few, test).count() == 6
-    assert neighbors.neighbours(few.limit(0), test).count() == 0
+    assert neighbors.predict(few.limit(0), test).count() == 0
+
+
+def test_neighbours_shuffle_nothing(spark):
+    train, test = labelled(spark, 40, dim=2), labelled(spark, 30, dim=2, seed=1)
+    plan = neighbors.predict(train, test)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Join" not in plan
+
+
+def test_train_rows_are_bounded_by_hash(spark):
+    rows = labelled(spark, 400, dim=2)
+    assert split.bounded_rows(rows, "image_id", None).count() == split.bounded_rows(rows, "image_id", 400).count() == 400
+    few = split.bounded_rows(rows, "image_id", 100)
+    assert 60 <= few.count() <= 140 and few.exceptAll(split.bounded_rows(rows, "image_id", 200)).isEmpty()
+
+
+def test_split_counts_without_reading_features(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    labelled(spark, 40, dim=2).write.parquet(path)
+    rows = spark.read.parquet(path)
+    seen = []
+    real = split._narrow
+    split._narrow = lambda keyed, *a: seen.append(keyed._jdf.queryExecution().executedPlan().toString()) or real(keyed, *a)
+    try:
+        split.stratified_split(rows).count()
+    finally:
+        split._narrow = real
+    assert seen and all("features" not in plan for plan in seen)
 
 
 # ----------------------------------------------------------------- metrics
@@ -158,7 +177,7 @@ def light_models():
 def test_default_models_in_order():
     assert [m.name for m in M.default_models()] == [m.name for m in light_models()]
     assert [m.needs_scaling for m in M.default_models()] == [m.needs_scaling for m in light_models()]
-    assert M.tree_depth(1000) == 30 and M.tree_depth(10**9) == 12
+    assert M.FULL_DEPTH == 30
 
 
 def test_every_model_learns_and_a_failure_is_a_row(spark, tmp_path):
