@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gc
+import sys
 import time
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +57,15 @@ def free_shuffles(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def per_process(key: tuple, make):
+    """What ``make`` returns, made once in each Python worker, whose tasks come one after the other."""
+    holder = sys.modules.setdefault("furlens_worker_state", types.ModuleType("furlens_worker_state"))
+    made = holder.__dict__.setdefault("made", {})
+    if key not in made:
+        made[key] = make()
+    return made[key]
+
+
 SLICE_BYTES = 4_000_000
 
 

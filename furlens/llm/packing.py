@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import sliced, table, text_or_empty
+from furlens.llm.common import per_process, sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
-MOST_WORDS = 300_000  # remembered by a task
+MOST_WORDS = 200_000  # remembered by a worker
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -125,9 +125,8 @@ def piece_lengths(n: int, longest: int) -> list[int]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = None
+    encoder = per_process(("WordEncoder", path), partial(WordEncoder, path))
     for batch in sliced(batches, 1):
-        encoder = encoder or WordEncoder(path)
         out = [[] for _ in range(5)]
         for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1))):
             ids = np.append(ids, np.uint32(end_id)).astype("<u4")
