@@ -20,8 +20,12 @@ ORIGINAL_SHAPE = r'"original_shape":\s*(\[\d+,\s*\d+,\s*\d+\])'
 MIN_ARRAY_CHARS = 1000
 
 
-def extract_fields(lines: DataFrame, value: str = "value", mode: str = "regex") -> DataFrame:
-    """Six text columns per line.
+FIELDS = ("image_id", "label", "keyword", "tags", "image_array", "original_shape")
+COUNTED_FIELDS = ("image_id", "label", "keyword", "image_array")  # what the filters and counts need
+
+
+def extract_fields(lines: DataFrame, value: str = "value", mode: str = "regex", fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Text columns per line, six or those in ``fields``; the line is not searched for others.
 
     ``regex`` takes the first match anywhere in the line, undecoded. ``json``
     parses the line with a fixed schema and is right on escaped quotes too.
@@ -38,11 +42,12 @@ def extract_fields(lines: DataFrame, value: str = "value", mode: str = "regex")
                 F.to_json("_r.image_array").alias("image_array"),
                 F.to_json("_r.original_shape").alias("original_shape"),
             )
+            .select(*fields)
         )
     if mode != "regex":
         raise ValueError(f"unknown extraction mode {mode!r}")
     line = F.col(value)
-    fields = {
+    captures = {
         "image_id": capture(line, IMAGE_ID),
         "label": capture(line, LABEL),
         "keyword": capture(line, KEYWORD),
@@ -50,7 +55,7 @@ def extract_fields(lines: DataFrame, value: str = "value", mode: str = "regex")
         "image_array": capture_value(line, IMAGE_ARRAY, "image_array"),
         "original_shape": capture_value(line, ORIGINAL_SHAPE, "original_shape"),
     }
-    return with_columns_once(lines.select(value), fields).drop(value)
+    return with_columns_once(lines.select(value), {name: captures[name] for name in fields}).drop(value)
 
 
 def keep_clean(extracted: DataFrame, min_chars: int = MIN_ARRAY_CHARS) -> DataFrame:

@@ -45,9 +45,9 @@ def run_model(spec: ModelSpec, train: DataFrame, test: DataFrame) -> dict:
         }
 
 
-def usable_levels(spark: SparkSession, levels: tuple[int, ...] = LEVELS) -> list[int]:
-    """Levels the cluster has cores for; raises when there is none."""
-    cores = spark.sparkContext.defaultParallelism
+def usable_levels(spark: SparkSession, levels: tuple[int, ...] = LEVELS, cores: int | None = None) -> list[int]:
+    """Levels that ``cores``, or those of the cluster, suffice for; raises when there is none."""
+    cores = spark.sparkContext.defaultParallelism if cores is None else cores
     usable = [n for n in levels if n <= cores]
     if not usable:
         raise ValueError(f"{cores} cores, none of the levels {list(levels)} fits")

@@ -9,10 +9,10 @@ from furlens.sources.readers import read_lines
 from furlens.sources.writers import write_table
 
 
-def valid_records(lines: DataFrame, min_chars: int = C.MIN_ARRAY_CHARS, mode: str = "regex") -> DataFrame:
+def valid_records(lines: DataFrame, min_chars: int = C.MIN_ARRAY_CHARS, mode: str = "regex", fields: tuple[str, ...] = C.FIELDS) -> DataFrame:
     """Extract, filter, cast, filter: one map-side pass."""
     return (
-        C.extract_fields(lines, mode=mode)
+        C.extract_fields(lines, mode=mode, fields=fields)
         .transform(C.keep_clean, min_chars)
         .transform(C.cast_label)
         .transform(C.keep_label_domain)

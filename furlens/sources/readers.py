@@ -64,5 +64,5 @@ def parse_feature_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def input_files(df: DataFrame) -> DataFrame:
-    """Number of data files behind a file scan, from the file listing; a missing path raises on read."""
-    return df.sparkSession.createDataFrame([(len(df.inputFiles()),)], "files bigint")
+    """Number of data files that hold rows of a file scan; a missing path raises on read."""
+    return df.select(F.col("_metadata.file_path").alias("file")).agg(F.count_distinct("file").alias("files"))

@@ -37,6 +37,7 @@ def write_runs_csv(model_runs: DataFrame, path: str) -> None:
     )
 
 
-def readback_count(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Rows found when a sink is read again."""
-    return spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("saved"))
+def readback_count(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Rows found when a sink is read again; with a schema nothing is inferred."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.format(fmt).load(path).agg(F.count(F.lit(1)).alias("saved"))

@@ -26,7 +26,7 @@ def proj_json_fields(spark, sf_dir):
 
 
 def proj_cast_label(spark, sf_dir):
-    return C.cast_label(D.extracted(spark, sf_dir)).select("image_id", "label")
+    return C.cast_label(D.extracted(spark, sf_dir, ("image_id", "label")))
 
 
 def filt_clean(spark, sf_dir):
@@ -75,13 +75,13 @@ FILT_IMAGE_CONTENT = D.ctes(D.PIXELS, D.TENSOR_IMAGES) + (
 
 
 def filt_content_twice(spark, sf_dir):
-    kept = A.keep_content_twice(D.images(spark, sf_dir), side=12)
+    kept = A.keep_content_twice(D.images(spark, sf_dir))
     return kept.select("vec_id", F.md5(F.to_json("resized")).alias("resized"))
 
 
 FILT_CONTENT_TWICE = D.ctes(D.PIXELS, D.TENSOR_IMAGES) + f"""
 select vec_id, md5(cast(to_json(r) as varchar)) as resized from (
-  select vec_id, {resized_sql("tensor", "16", 12)} as r from images where {CONTENT_SQL.format(t='tensor')})
+  select vec_id, {resized_sql("tensor", "16", 64)} as r from images where {CONTENT_SQL.format(t='tensor')})
 where {CONTENT_SQL.format(t='r')}"""
 
 
@@ -104,11 +104,11 @@ from tagged order by doc_id limit 5"""
 
 
 def proj_array_length(spark, sf_dir):
-    return C.array_length_sample(D.extracted(spark, sf_dir))
+    return C.array_length_sample(D.extracted(spark, sf_dir, ("image_id", "image_array")))
 
 
 def limit_sample(spark, sf_dir):
-    return counts.sample_rows(D.extracted(spark, sf_dir).select("image_id", "label"), 10, ["image_id"])
+    return counts.sample_rows(D.extracted(spark, sf_dir, ("image_id", "label")), 10, ["image_id"])
 
 
 def label_from_tags(spark, sf_dir):
@@ -146,23 +146,23 @@ def agg_count_lines(spark, sf_dir):
 
 
 def agg_valid_count(spark, sf_dir):
-    return counts.valid_count(D.valid(spark, sf_dir))
+    return counts.valid_count(D.valid(spark, sf_dir, C.COUNTED_FIELDS))
 
 
 def agg_category_stats(spark, sf_dir):
-    return counts.category_stats(D.valid(spark, sf_dir))
+    return counts.category_stats(D.valid(spark, sf_dir, C.COUNTED_FIELDS))
 
 
 def agg_keyword_stats(spark, sf_dir):
-    return counts.keyword_stats(D.valid(spark, sf_dir))
+    return counts.keyword_stats(D.valid(spark, sf_dir, C.COUNTED_FIELDS))
 
 
 def agg_summary_text(spark, sf_dir):
-    return counts.summary_text(D.valid(spark, sf_dir))
+    return counts.summary_text(D.valid(spark, sf_dir, C.COUNTED_FIELDS))
 
 
 def agg_label_counts(spark, sf_dir):
-    return counts.label_counts(D.valid(spark, sf_dir))
+    return counts.label_counts(D.valid(spark, sf_dir, C.COUNTED_FIELDS))
 
 
 def agg_keyword_success(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from furlens.functions.once import with_columns_once
 from furlens.operators import features as X
-from furlens.operators.cleaning import extract_fields
+from furlens.operators.cleaning import FIELDS, extract_fields
 from furlens.plans import clean, evaluate, extract
 from furlens.session import shared_dir
 from furlens.sources import readers as R, writers as W
@@ -157,12 +157,12 @@ valid as (
 )
 
 
-def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_fields(lines(spark, sf_dir))
+def extracted(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    return extract_fields(lines(spark, sf_dir), fields=fields)
 
 
-def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.valid_records(lines(spark, sf_dir))
+def valid(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    return clean.valid_records(lines(spark, sf_dir), fields=fields)
 
 
 # ------------------------------------------------------------------- features

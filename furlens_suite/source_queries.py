@@ -147,7 +147,7 @@ def _records(spark, sf_dir) -> DataFrame:
         F.lit(None).cast("bigint").alias("downloads"),
         F.lit("someone").alias("user"),
     )
-    resized = A.resize(accepted, side=8)
+    resized = A.resize(accepted)
     return A.image_record(resized, "Example", F.lit("2024-01-02 03:04:05").cast("timestamp"))
 
 
@@ -180,7 +180,7 @@ def resized_sql(column: str, source_side: str, side: int) -> str:
 
 
 PROJ_IMAGE_RECORD = D.ctes(D.PIXELS) + f"""
-select concat(keyword, '_', vec_id) as image_id, md5(cast(to_json({resized_sql("px", "16", 8)}) as varchar)) as pixels,
+select concat(keyword, '_', vec_id) as image_id, md5(cast(to_json({resized_sql("px", "16", 64)}) as varchar)) as pixels,
   concat('https://example.com/t', label, '.jpg') as source_url, concat('Example ', keyword, ' image') as description,
   '2024-01-02 03:04:05' as download_timestamp,
   cast(case when vec_id % 2 = 0 then case keyword when 'cat' then 0 else 1 end else label % 2 end as int) as label, keyword,
@@ -251,7 +251,7 @@ def chk_readback_count(spark, sf_dir):
     seen = Observation()
     rows = D.feature_rows(spark, sf_dir).observe(seen, F.count(F.lit(1)).alias("written"))
     W.write_features(rows, path)
-    return W.readback_count(spark, path).withColumn("written", F.lit(seen.get["written"]).cast("bigint"))
+    return W.readback_count(spark, path, schema=rows.schema).withColumn("written", F.lit(seen.get["written"]).cast("bigint"))
 
 
 CHK_READBACK_COUNT = D.ctes(D.VALID_VECTORS) + """
@@ -259,7 +259,7 @@ select count(*) as saved, count(*) as written from valid join vectors using (ima
 
 
 def chk_input_files(spark, sf_dir):
-    path = _written_text(spark, D.lines(spark, sf_dir).select("value"), "lines")
+    path = _written_text(spark, D.lines(spark, sf_dir).select("value").repartition(5), "lines")
     return R.input_files(R.read_lines(spark, path))
 
 
@@ -323,7 +323,7 @@ QUERIES = {
     "src_clean_json": (src_clean_json, SRC_CLEAN_JSON),
     "sink_features_json": (sink_features_json, SINK_FEATURES_JSON),
     "chk_readback_count": (chk_readback_count, CHK_READBACK_COUNT),
-    "chk_input_files": (chk_input_files, None),
+    "chk_input_files": (chk_input_files, "select least(5, count(*)) as files from embeddings"),
     "src_feature_lines": (src_feature_lines, SRC_FEATURE_LINES),
     "sink_runs_csv": (sink_runs_csv, SINK_RUNS_CSV),
     "sink_report_json": (sink_report_json, None),
