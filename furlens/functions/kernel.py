@@ -66,8 +66,12 @@ def _byte(pixel: Column, index: Column) -> Column:
     return F.coalesce(F.get(pixel, index).cast("int"), F.lit(0))
 
 
-def with_channels(df: DataFrame, tensor: str = "tensor") -> DataFrame:
-    """Add sorted ``_c0 _c1 _c2`` and ``_gray``. With 1 or 2 channels the first one stands for all."""
+def with_channels(df: DataFrame, tensor: str = "tensor", parts: tuple[str, ...] = ("_c0", "_c1", "_c2", "_gray"), ordered: tuple[str, ...] | None = None) -> DataFrame:
+    """Add the wanted ones of ``_c0 _c1 _c2`` and ``_gray``, sorted if in ``ordered`` (all by default).
+
+    With 1 or 2 channels the first one stands for all.
+    """
+    ordered = parts if ordered is None else ordered
     rgb = T.channels(F.col(tensor)) >= 3
     df = df.withColumns(
         {
@@ -81,66 +85,71 @@ def with_channels(df: DataFrame, tensor: str = "tensor") -> DataFrame:
     )
     at = {"_c0": F.lit(0), "_c1": F.col("_g_at"), "_c2": F.col("_b_at")}
 
-    def sorted_channel(index: Column) -> Column:
-        return A.sorted_values(F.transform(F.col("_pixels"), lambda p: _byte(p, index)))
+    def values(part: str) -> Column:
+        if part != "_gray":
+            return F.transform(F.col("_pixels"), lambda p: _byte(p, at[part]))
+        return F.transform(
+            F.col("_pixels"),
+            lambda p: _byte(p, at["_c0"]) * F.col("_wr")
+            + _byte(p, at["_c1"]) * F.col("_wg")
+            + _byte(p, at["_c2"]) * F.col("_wb"),
+        )
 
-    gray = F.transform(
-        F.col("_pixels"),
-        lambda p: _byte(p, at["_c0"]) * F.col("_wr")
-        + _byte(p, at["_c1"]) * F.col("_wg")
-        + _byte(p, at["_c2"]) * F.col("_wb"),
-    )
-    return with_columns_once(
-        df, {**{name: sorted_channel(i) for name, i in at.items()}, "_gray": A.sorted_values(gray)}
-    ).drop("_pixels", "_g_at", "_b_at", "_wr", "_wg", "_wb")
+    built = {part: A.sorted_values(values(part)) if part in ordered else values(part) for part in parts}
+    return with_columns_once(df, built).drop("_pixels", "_g_at", "_b_at", "_wr", "_wg", "_wb")
+
+
+_PART_OF = {"red": "_c0", "green": "_c1", "blue": "_c2", "gray": "_gray"}
+_ALIASES = {"entropy": ("_gray", "entropy"), "contrast": ("_gray", "std")}
+_PERCENTILES = {"median": 0.50, "p25": 0.25, "p75": 0.75, "p10": 0.10, "p90": 0.90}
+
+
+def _part_and_stat(name: str) -> tuple[str, str]:
+    colour, _, stat = name.partition("_")
+    return _ALIASES.get(name) or (_PART_OF[colour], stat)
 
 
 def with_feature_vector(
-    df: DataFrame, tensor: str = "tensor", out: str = "image_features"
+    df: DataFrame, tensor: str = "tensor", out: str = "image_features", names: tuple[str, ...] = FEATURE_NAMES
 ) -> DataFrame:
-    """Add the 24-value vector; NULL where ``tensor`` is NULL."""
+    """Add the values ``names`` as one array, the 24-value vector by default; NULL where ``tensor`` is NULL.
+
+    Only what the names need is built: no part is sorted for a mean, and no
+    entropy is computed that is not asked for.
+    """
     kept = df.columns
-    parts = ("_c0", "_c1", "_c2", "_gray")
-    df = with_channels(df, tensor)
-    df = df.withColumns({f"{p}_mean": A.mean(F.col(p)) for p in parts})
-    df = df.withColumns(
-        {
-            **{
-                f"{p}_var": A.centred_squares(F.col(p), F.col(f"{p}_mean")) / F.size(p)
-                for p in parts
-            },
-            "_bins": F.transform(
-                "_gray",
-                lambda g: F.least(
-                    F.floor(g * F.lit(ENTROPY_BINS) / F.lit(ENTROPY_TOP)).cast("int"),
-                    F.lit(ENTROPY_BINS - 1),
-                ),
+    wanted = [_part_and_stat(n) for n in names]
+    parts = tuple(dict.fromkeys(p for p, _ in wanted))
+    ordered = tuple(dict.fromkeys(p for p, s in wanted if s in _PERCENTILES or s == "entropy"))
+    df = with_channels(df, tensor, parts, ordered)
+    spread = [p for p in parts if {"std", "var"} & {s for q, s in wanted if q == p}]
+    df = df.withColumns({f"{p}_mean": A.mean(F.col(p)) for p in parts if p in spread or (p, "mean") in wanted})
+    df = df.withColumns({f"{p}_var": A.centred_squares(F.col(p), F.col(f"{p}_mean")) / F.size(p) for p in spread})
+    if ("_gray", "entropy") in wanted:
+        bins = F.transform(
+            "_gray",
+            lambda g: F.least(
+                F.floor(g * F.lit(ENTROPY_BINS) / F.lit(ENTROPY_TOP)).cast("int"),
+                F.lit(ENTROPY_BINS - 1),
             ),
-        }
-    )
-    df = df.withColumn("_runs", A.run_lengths(F.col("_bins")))
-    colour = [
-        stat
-        for p in parts[:3]
-        for stat in (
-            F.col(f"{p}_mean"),
-            F.sqrt(f"{p}_var"),
-            A.percentile(F.col(p), 0.50),
-            A.percentile(F.col(p), 0.25),
-            A.percentile(F.col(p), 0.75),
         )
-    ]
-    gray = F.col("_gray")
-    texture = [
-        F.col("_gray_mean"),
-        F.sqrt("_gray_var"),
-        F.col("_gray_var"),
-        A.smoothed_entropy(F.col("_runs"), F.size(gray), ENTROPY_BINS, ENTROPY_EPS),
-        F.sqrt("_gray_var"),
-        A.smallest(gray),
-        A.largest(gray),
-        A.percentile(gray, 0.10),
-        A.percentile(gray, 0.90),
-    ]
-    vector = F.when(F.col(tensor).isNotNull(), F.array(*colour, *texture))
+        df = df.withColumn("_bins", bins).withColumn("_runs", A.run_lengths(F.col("_bins")))
+
+    def value(part: str, stat: str) -> Column:
+        column = F.col(part)
+        if stat in _PERCENTILES:
+            return A.percentile(column, _PERCENTILES[stat])
+        if stat == "mean":
+            return F.col(f"{part}_mean")
+        if stat == "var":
+            return F.col(f"{part}_var")
+        if stat == "std":
+            return F.sqrt(f"{part}_var")
+        if stat == "entropy":
+            return A.smoothed_entropy(F.col("_runs"), F.size(column), ENTROPY_BINS, ENTROPY_EPS)
+        if part in ordered:
+            return A.smallest(column) if stat == "min" else A.largest(column)
+        return (F.array_min(column) if stat == "min" else F.array_max(column)).cast("double")
+
+    vector = F.when(F.col(tensor).isNotNull(), F.array(*[value(p, s) for p, s in wanted]))
     return with_columns_once(df, {out: vector}).select(*kept, out)

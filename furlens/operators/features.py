@@ -13,16 +13,18 @@ MIN_FEATURES = 10
 FEW_ROWS = 10
 
 
-def with_features(df: DataFrame, text: str = "image_array", out: str = "image_features", engine: str = "arrow") -> DataFrame:
+def with_features(df: DataFrame, text: str = "image_array", out: str = "image_features", engine: str = "arrow", names: tuple[str, ...] = kernel.FEATURE_NAMES) -> DataFrame:
     """Add the 24 doubles of each image; empty (arrow) or NULL (native) where it cannot be read.
 
-    ``arrow`` is the fast form. ``native`` uses Spark expressions only and needs
-    no Python worker.
+    ``arrow`` is the fast form. ``native`` uses Spark expressions only, needs no
+    Python worker, and can build some named values only.
     """
     if engine == "arrow":
+        if names != kernel.FEATURE_NAMES:
+            raise ValueError("the arrow form builds all values")
         return df.withColumn(out, batch_kernel.feature_vector(F.col(text)))
     if engine == "native":
-        return kernel.with_feature_vector(kernel.with_tensor(df, text, "_tensor"), "_tensor", out).drop("_tensor")
+        return kernel.with_feature_vector(kernel.with_tensor(df, text, "_tensor"), "_tensor", out, names).drop("_tensor")
     raise ValueError(f"unknown engine {engine!r}")
 
 

@@ -38,8 +38,8 @@ def _part(*names):
     """A query for some named features, and its SQL."""
 
     def query(spark, sf_dir):
-        rows = X.keep_extracted(X.with_features(D.arrays(spark, sf_dir), engine="native"))
-        return rows.select("image_id", *_named(names=names))
+        rows = X.keep_extracted(X.with_features(D.arrays(spark, sf_dir), engine="native", names=names))
+        return rows.select("image_id", *[D.rounded(F.get("image_features", F.lit(i))).alias(n) for i, n in enumerate(names)])
 
     return query, D.ctes(D.ARRAY_VECTORS) + f"select image_id, {_named_sql(names)} from vectors"
 

@@ -107,3 +107,9 @@ def test_run_writes_records_and_counts(spark, tmp_path):
     assert [(r["label"], r["count"]) for r in stats] == [(0, 3), (1, 3)]
     words = spark.read.json(str(tmp_path / "out" / "keyword_stats")).collect()
     assert [(r["keyword"], r["count"]) for r in words] == [("猫", 6)]
+
+
+def test_counts_search_only_for_their_fields(spark):
+    lines = spark.createDataFrame([("x",)], "value string")
+    plan = C.extract_fields(lines, fields=C.COUNTED_FIELDS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "image_array" in plan and "original_shape" not in plan and '"tags"' not in plan

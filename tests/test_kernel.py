@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from furlens.functions import kernel
 from furlens.functions.kernel import FEATURE_NAMES, N_FEATURES
 from furlens.operators import features as X
 
@@ -140,3 +141,13 @@ def test_quality_report_without_valid_rows_raises(spark):
     with pytest.raises(Exception, match="no valid feature rows"):
         X.quality_report(df).collect()
     assert df.filter(F.size("image_features") > 10).count() == 0
+
+
+def test_named_values_build_only_what_they_need(spark):
+    tensors = spark.createDataFrame([([[[1, 2, 3]] * 3] * 2,)], "tensor array<array<array<int>>>")
+    plan = kernel.with_feature_vector(tensors, names=("gray_mean",))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan and "log2" not in plan.lower()
+    every = kernel.with_feature_vector(tensors).first()["image_features"]
+    for name in ("green_std", "blue_p25", "gray_min", "entropy"):
+        alone = kernel.with_feature_vector(tensors, names=(name,)).first()["image_features"][0]
+        assert abs(alone - every[FEATURE_NAMES.index(name)]) < 1e-9
