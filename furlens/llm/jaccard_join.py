@@ -245,9 +245,9 @@ def join_region(sids: np.ndarray, sizes: np.ndarray, linked: np.ndarray, delta:
 
 
 def _region_links(sids: np.ndarray, pivots: np.ndarray, flat: np.ndarray, offsets: np.ndarray, bounds: Bounds) -> list[tuple[int, int]]:
-    """All links needed in one region; its pivot is one of the sets."""
+    """All links needed in one region; any of its sets may be the pivot, the smallest id if it is there."""
     sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-    at = int(np.flatnonzero(sids == pivots)[0])
+    at = int(np.argmax(sids == pivots))
     delta = [np.setxor1d(x, sets[at], assume_unique=True) for i, x in enumerate(sets) if i != at]
     others = np.delete(sids, at)
     sizes, n = np.delete(np.diff(offsets), at), np.array([len(d) for d in delta])
@@ -301,6 +301,17 @@ def _members(regions: DataFrame, first: bool) -> DataFrame:
     return members.select(F.col("p").alias("cell"), "p", "sid").distinct() if first else members.select(F.col("key").alias("cell"), "p", "sid")
 
 
+def _with_partners(rows: DataFrame, bounds: Bounds) -> DataFrame:
+    """Sets of bounded regions that have another one of a linkable size in their region.
+
+    In the order of sizes it is enough to look at both neighbours.
+    """
+    by_size = Window.partitionBy("cell").orderBy("n_shingles", "sid")
+    n, before, after = F.col("n_shingles"), F.lag("n_shingles").over(by_size), F.lead("n_shingles").over(by_size)
+    rows = rows.withColumns({"below": before * bounds.den >= n * bounds.num, "above": n * bounds.den >= after * bounds.num})
+    return rows.filter(F.coalesce("below", F.lit(False)) | F.coalesce("above", F.lit(False))).select("cell", "p", "sid")
+
+
 def _regions(crowded: DataFrame, bounds: Bounds) -> DataFrame:
     """The next regions: members of a crowded one that share a rare difference and a ring."""
     rows = crowded.withColumn("n_delta", F.size("delta"))
@@ -355,8 +366,9 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
         sized = all_rows.join(small(places.select("sid", "n_shingles")), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
         cells = stored(sized.select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
         # regions of bounded size: each in one task
-        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").select("cell", "p", "sid")
-        held = contents.join(small(held), "sid").select("cell", "p", "sid", "shingles")
+        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").join(small(places.select("sid", "n_shingles")), "sid")
+        held_rows = stored(_with_partners(held, bounds), "held")
+        held = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
         joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
         links.append(stored(joined, "joined"))
         # crowded ones: all members against the pivot, and what is left to smaller regions
@@ -367,7 +379,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int =
         links.append(stored(compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")), "compared"))
         regions = stored(_regions(compared, bounds), "regions")
         following = stored(_members(regions, first=False), "members")
-        discard(members, cells, compared, regions)
+        discard(members, cells, compared, regions, held_rows)
         members = following
         free_shuffles(docs.sparkSession)
     discard(members, places, contents)
