@@ -121,6 +121,9 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment:
     rows = with_columns_once(docs.select("doc_id", text_or_empty().alias("text")), {"words": words}).drop("text")
     rows = with_columns_once(rows, {"hashed": F.transform("words", lambda w: F.xxhash64(w))})
     rows = with_columns_once(rows, {"h": _shingle_hashes(F.col("words"))}).drop("hashed")
+    # a window collides in a band only if it holds the shingle that is the template's minimum there
+    least_shingles = sorted({v ^ _mask(b) for (_, b), found in values.items() for v in found})
+    rows = rows.filter(F.arrays_overlap("h", F.array(*[F.lit(v).cast("long") for v in least_shingles])))
     rows = with_columns_once(rows, {"orders": F.array(*[_ordered(b) for b in range(most)])})
 
     def starts(g: int, group: Group) -> Column:
