@@ -20,9 +20,22 @@ def proj_regex_fields(spark, sf_dir):
 
 
 def proj_json_fields(spark, sf_dir):
-    """The parsed form on the well-formed lines, where both forms agree."""
-    good = D.lines(spark, sf_dir).filter("vec_id % 29 > 3 and vec_id % 37 > 0 and vec_id % 41 > 9")
-    return _short(C.extract_fields(good, mode="json")).drop("original_shape")
+    """The parsed form of every line; a value that does not fit its type is NULL, the line's other fields stay."""
+    return _short(C.extract_fields(D.lines(spark, sf_dir), mode="json"))
+
+
+_WHOLE = "('BIGINT', 'UBIGINT', 'NULL')"
+_NONE_BUT = "len(list_filter(json_extract(j, '{path}'), lambda x: json_type(x) not in {types})) = 0"
+PROJ_JSON_FIELDS = D.ctes(D.LINES) + f"""
+select json_extract_string(j, '$.image_id') as image_id,
+  case when json_type(j, '$.label') in {_WHOLE} then cast(try_cast(json_extract_string(j, '$.label') as integer) as varchar) end as label,
+  json_extract_string(j, '$.keyword') as keyword, json_extract_string(j, '$.tags') as tags,
+  case when {_NONE_BUT.format(path='$.image_array[*]', types="('ARRAY', 'NULL')")}
+    and {_NONE_BUT.format(path='$.image_array[*][*]', types="('ARRAY', 'NULL')")}
+    and {_NONE_BUT.format(path='$.image_array[*][*][*]', types=_WHOLE)}
+    then md5(cast(json_extract(j, '$.image_array') as varchar)) end as image_array,
+  cast(json_extract(j, '$.original_shape') as varchar) as original_shape
+from (select cast(value as json) as j from lines)"""
 
 
 def proj_cast_label(spark, sf_dir):
@@ -213,11 +226,7 @@ _ALL = _FIELDS + ", original_shape"
 
 QUERIES = {
     "proj_regex_fields": (proj_regex_fields, D.ctes(D.EXTRACTED) + f"select {_ALL} from extracted"),
-    "proj_json_fields": (
-        proj_json_fields,
-        D.ctes(D.EXTRACTED.replace("from lines)", "from lines where vec_id % 29 > 3 and vec_id % 37 > 0 and vec_id % 41 > 9)"))
-        + f"select {_FIELDS} from extracted",
-    ),
+    "proj_json_fields": (proj_json_fields, PROJ_JSON_FIELDS),
     "proj_cast_label": (
         proj_cast_label,
         D.ctes(D.EXTRACTED) + "select image_id, try_cast(label as integer) as label from extracted",
