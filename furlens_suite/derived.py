@@ -367,7 +367,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("vec_id", "label", "tensor")
 
 
-# Listing responses: 50 documents each, every fifth response without hits.
+# Listing responses: 50 documents each; after every fifth page comes one more response without hits.
 RESPONSE_SIZE = 50
 _HIT = {
     "id": "doc_id",
@@ -383,16 +383,17 @@ hits as (
   select doc_id as api_id, {_HIT["pageURL"]} as page_url, url as image_url,
     coalesce({_HIT["tags"]}, '') as tags, coalesce({_HIT["views"]}, 0) as views,
     coalesce({_HIT["downloads"]}, 0) as downloads, coalesce({_HIT["user"]}, '') as user
-  from tagged where (doc_id // {RESPONSE_SIZE}) % 5 <> 0)"""
+  from tagged)"""
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON text per response of at most RESPONSE_SIZE hits; absent values are absent keys."""
+    """One JSON text per response of at most RESPONSE_SIZE hits, and the empty ones; absent values are absent keys."""
     hit = F.struct(*[F.expr(e).alias(n) for n, e in _HIT.items()])
     page = F.expr(f"doc_id div {RESPONSE_SIZE}")
     grouped = tagged(spark, sf_dir).groupBy(page.alias("page")).agg(F.collect_list(hit).alias("hits"))
     full = F.to_json(F.struct(F.size("hits").alias("total"), "hits"))
-    return grouped.select(F.when(F.col("page") % 5 == 0, F.lit('{"total": 0}')).otherwise(full).alias("value"))
+    texts = F.when(F.col("page") % 5 == 0, F.array(full, F.lit('{"total": 0}'))).otherwise(F.array(full))
+    return grouped.select(F.explode(texts).alias("value"))
 
 
 # Feature lines: whole numbers, so that both engines print the same text.
