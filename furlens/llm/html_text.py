@@ -1,11 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node has a path of open tags from the root. Per path, characters,
-punctuation and link text of all its nodes are summed; their ratios to the
-number of nodes are fused, weighted by what the tags and classes on the path
-say, and smoothed over paths that share ancestors. Nodes whose path reaches a
-share of the page's best value are content. Content is cut into blocks at block
-elements.
+Every text node has a path of open block elements from the root; inline elements
+are no part of it, so that their text shares the fate of its block. Per path,
+characters, punctuation and link text of all its nodes are summed; their ratios
+to the number of blocks are fused, weighted by what the tags and classes on the
+path say, and smoothed over paths that share ancestors. Nodes whose path reaches
+a share of the page's best value are content, and so is everything below what
+says that it is content, except what is never content. Content is cut into
+blocks at block elements.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ MAIN_WORDS = frozenset("article article-body articlebody entry-content main-cont
 
 MAIN_WEIGHT = 8.0
 KEEP_SHARE = 0.2  # of the best smoothed value; less than this separates weighted from unweighted paths
+LINK_SHARE = 0.3  # what text in links counts
 OWN, PARENT, GRANDPARENT = 0.5, 0.3, 0.2
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -70,8 +73,8 @@ def _weight(tag: str, attributes: str) -> float:
     return weight
 
 
-def text_nodes(page: str) -> tuple[list[tuple[int, str, bool]], list[tuple[tuple[str, ...], float]]]:
-    """Nodes (path, text, whether a block ends before it) in page order, and the paths with their weights."""
+def text_nodes(page: str) -> tuple[list[tuple[int, str, bool, bool]], list[tuple[tuple[str, ...], float]]]:
+    """Nodes (path, text, whether a block ends before it, whether it is a link's) in page order, and the paths with their weights."""
     nodes, paths, known = [], [], {}
     stack: list[tuple[str, float]] = []
     names: list[str] = []
@@ -82,12 +85,12 @@ def text_nodes(page: str) -> tuple[list[tuple[int, str, bool]], list[tuple[tuple
         if not raw or not stack and not raw.strip():
             return
         weight = stack[-1][1] if stack else 1.0
-        key = (tuple(names), weight)
+        key = (tuple(name for name in names if name in BLOCK), weight)
         place = known.get(key)
         if place is None:
             place = known[key] = len(paths)
             paths.append(key)
-        nodes.append((place, html.unescape(raw) if "&" in raw else raw, broken))
+        nodes.append((place, html.unescape(raw) if "&" in raw else raw, broken, "a" in names))
         broken = False
 
     while at < n:
@@ -139,19 +142,22 @@ def text_nodes(page: str) -> tuple[list[tuple[int, str, bool]], list[tuple[tuple
     return nodes, paths
 
 
-def path_values(nodes: list[tuple[int, str, bool]], paths: list[tuple[tuple[str, ...], float]]) -> list[float]:
+def path_values(nodes: list[tuple[int, str, bool, bool]], paths: list[tuple[tuple[str, ...], float]]) -> list[float]:
     """The fused and smoothed value of each path."""
-    count, chars, marks = [0] * len(paths), [0] * len(paths), [0] * len(paths)
-    for place, text, _ in nodes:
+    count, chars, linked, marks, last = [0] * len(paths), [0] * len(paths), [0] * len(paths), [0] * len(paths), [0] * len(paths)
+    block = 0
+    for place, text, broken, link in nodes:
+        block += broken
         filled = text.strip()
         if filled:
-            count[place] += 1
+            count[place] += last[place] != block
+            last[place] = block
             chars[place] += len(filled)
+            linked[place] += link * len(filled)
             marks[place] += len(PUNCTUATION.findall(filled))
     fused = []
-    for (path, weight), n, c, p in zip(paths, count, chars, marks):
-        links = 0.3 if "a" in path else 1.0
-        fused.append(weight * links * (math.log1p(c / n) + math.log1p(p / n)) if n else 0.0)
+    for (_, weight), n, c, a, p in zip(paths, count, chars, linked, marks):
+        fused.append(weight * (1 - (1 - LINK_SHARE) * a / c) * (math.log1p(c / n) + math.log1p(p / n)) if n else 0.0)
     sums: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0])
     for (path, weight), value, n in zip(paths, fused, count):
         if n and weight:
@@ -172,10 +178,10 @@ def main_text(page: str) -> str:
     nodes, paths = text_nodes(page)
     values = path_values(nodes, paths)
     least = KEEP_SHARE * max(values, default=0.0)
-    wanted = [v > 0 and v >= least for v in values]
+    wanted = [weight >= MAIN_WEIGHT or (v > 0 and v >= least) for v, (_, weight) in zip(values, paths)]
     blank = [weight > 0 for _, weight in paths]
     blocks: list[list[str]] = [[]]
-    for place, text, broken in nodes:
+    for place, text, broken, _ in nodes:
         if broken:
             blocks.append([])
         if wanted[place] or (blank[place] and not text.strip()):
