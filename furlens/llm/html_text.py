@@ -35,13 +35,15 @@ BLOCK = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select article section main div body".split())
 
-ASIDE_TAGS = frozenset("nav header footer aside form button select menu dialog svg head object".split()) | RAW
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu form".split())
+ASIDE_TAGS = frozenset("nav header footer aside button select menu dialog svg head object".split()) | RAW
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comment-list cookie cookies disqus footer form header"
     " masthead menu menubar modal nav navbar navigation newsletter notice notices pagination popup promo promotion related respond share sharing sidebar"
     " signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# What a class name starts with, before a hyphen or an underscore.
+ASIDE_STARTS = frozenset("ad ads advert comment comments sidebar cookie".split())
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset("article article-body articlebody entry-content main-content post-body post-content story".split())
 
@@ -55,28 +57,75 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop|style)\b
 PUNCTUATION = re.compile(r"[.,;:!?…、。]")
 
 
-def _weight(tag: str, attributes: str) -> float:
-    """0 for what is never content, MAIN_WEIGHT for what says it is, else 1."""
+def _aside_name(word: str) -> bool:
+    return word in ASIDE_WORDS or word.split("__")[0] in ASIDE_WORDS or re.split("[_-]", word, maxsplit=1)[0] in ASIDE_STARTS
+
+
+def _weight(tag: str, attributes: str) -> tuple[float, bool]:
+    """0 for what is never content, MAIN_WEIGHT for what says it is, else 1; and whether a name or a form speaks against it."""
     if tag in ASIDE_TAGS:
-        return 0.0
-    weight = MAIN_WEIGHT if tag in MAIN_TAGS else 1.0
+        return 0.0, False
+    weight, doubted = MAIN_WEIGHT if tag in MAIN_TAGS else 1.0, tag == "form"
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
-                return 0.0
+                return 0.0, False
             words = set(value.split())
-            if (name == "role" and words & ASIDE_ROLES) or (name in ("class", "id") and (words & ASIDE_WORDS or {w.split("__")[0] for w in words} & ASIDE_WORDS or set(re.split(r"[\s_-]+", value)) & {"ad", "ads", "advert", "comments", "sidebar", "cookie"})):
-                return 0.0
+            if name == "role" and words & ASIDE_ROLES:
+                return 0.0, False
+            doubted |= (name == "role" and "form" in words) or (name in ("class", "id") and any(map(_aside_name, words)))
             if (name == "role" and "main" in words) or (name == "itemprop" and "articlebody" in words) or (name in ("class", "id") and words & MAIN_WORDS):
                 weight = MAIN_WEIGHT
-    return weight
+    return weight, doubted and tag not in ("html", "body")
+
+
+class Element:
+    """An open or closed element; the root of a page has no parent."""
+
+    __slots__ = ("article", "chars", "doubted", "holds", "main", "parent", "tag", "weight")
+
+    def __init__(self, parent: Element | None, tag: str, weight: float, doubted: bool):
+        self.parent, self.tag, self.weight, self.doubted = parent, tag, weight, doubted
+        self.main, self.article = tag in MAIN_TAGS, tag == "article" or (parent is not None and parent.article)
+        self.chars, self.holds = 0, False  # of it and all it holds; whether it holds an article or main
+
+    def path(self) -> tuple[str, ...]:
+        """The block elements from the root to this one."""
+        names, e = [], self
+        while e.parent is not None:
+            if e.tag in BLOCK:
+                names.append(e.tag)
+            e = e.parent
+        return tuple(reversed(names))
+
+
+def _settle(elements: list[Element]) -> None:
+    """The weights that count, of elements in page order.
+
+    A name or a form rules an element out unless it holds an article or a main
+    element that is not ruled out itself, or, outside articles, more than half
+    of the page's text.
+    """
+    for e in reversed(elements):
+        e.parent.chars += e.chars
+    half = elements[0].parent.chars / 2 if elements else 0
+    for e in reversed(elements):
+        if e.doubted and (e.holds or (e.chars > half and not e.parent.article)):
+            e.doubted = False
+        if e.doubted:
+            e.weight = 0.0
+        e.parent.holds |= e.weight > 0 and (e.main or e.holds)
+    for e in elements:
+        e.weight = 0.0 if e.weight == 0 or e.parent.weight == 0 else max(e.weight, e.parent.weight)
 
 
 def text_nodes(page: str) -> tuple[list[tuple[int, str, bool, bool]], list[tuple[tuple[str, ...], float]]]:
     """Nodes (path, text, whether a block ends before it, whether it is a link's) in page order, and the paths with their weights."""
-    nodes, paths, known = [], [], {}
-    stack: list[tuple[str, float]] = []
+    found: list[tuple[Element, str, bool, bool]] = []
+    root = Element(None, "", 1.0, False)
+    elements: list[Element] = []
+    stack: list[Element] = []
     names: list[str] = []
     broken, at, n = True, 0, len(page)
 
@@ -84,13 +133,10 @@ def text_nodes(page: str) -> tuple[list[tuple[int, str, bool, bool]], list[tuple
         nonlocal broken
         if not raw or not stack and not raw.strip():
             return
-        weight = stack[-1][1] if stack else 1.0
-        key = (tuple(name for name in names if name in BLOCK), weight)
-        place = known.get(key)
-        if place is None:
-            place = known[key] = len(paths)
-            paths.append(key)
-        nodes.append((place, html.unescape(raw) if "&" in raw else raw, broken, "a" in names))
+        text = html.unescape(raw) if "&" in raw else raw
+        element = stack[-1] if stack else root
+        element.chars += len(text.strip())
+        found.append((element, text, broken, "a" in names))
         broken = False
 
     while at < n:
@@ -135,11 +181,16 @@ def text_nodes(page: str) -> tuple[list[tuple[int, str, bool, bool]], list[tuple
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        above = stack[-1][1] if stack else 1.0
-        own = _weight(tag, attributes)
-        stack.append((tag, 0.0 if own == 0 or above == 0 else max(own, above)))
+        above = stack[-1] if stack else root
+        stack.append(Element(above, tag, *_weight(tag, attributes)))
+        elements.append(stack[-1])
         names.append(tag)
-    return nodes, paths
+    _settle(elements)
+    nodes, places = [], {}
+    for element, text, ends, link in found:
+        place = places.setdefault((element.path(), element.weight), len(places))
+        nodes.append((place, text, ends, link))
+    return nodes, list(places)
 
 
 def path_values(nodes: list[tuple[int, str, bool, bool]], paths: list[tuple[tuple[str, ...], float]]) -> list[float]:

@@ -29,3 +29,27 @@ def test_what_is_never_content_stays_out_of_an_article():
 def test_lists_of_links_beside_the_text_stay_out():
     links = "".join(f"<li><a href='/{i}'>word {i}</a></li>" for i in range(9))
     assert html_text.main_text(f"<body><ul>{links}</ul><div><p>{LONG}</p></div>") == LONG.strip()
+
+
+def test_names_of_wrappers_do_not_empty_a_page():
+    for name in ("right-sidebar", "no-sidebar", "has-sidebar", "comments-open", "sidebar", "page ad-free notice"):
+        for page in ("<html class='{0}'><body>{1}", "<body class='{0}'>{1}", "<body><div id='{0}'><article>{1}</article></div>", "<body><div class='{0}'><div>{1}</div></div>", "<body><div class='{0}'><main>{1}</main></div>"):
+            assert html_text.main_text(page.format(name, f"<p>{LONG}</p>")) == LONG.strip(), (name, page)
+
+
+def test_form_around_a_page():
+    for page in ("<body><form action='/'><div><p>{0}</p></div><input></form>", "<body><form role='form'><article><p>{0}</p><form class='search'>Go</form></article></form>"):
+        assert html_text.main_text(page.format(LONG)) == LONG.strip()
+
+
+def test_asides_keep_being_left_out():
+    asides = "<div class='sidebar-left'><p>{0}</p></div><div class='cookie_bar'><p>{0}</p></div><ul class='nav__list'><li>{0}</ul><form><p>{0}</p></form>".format("Short, but text. It is.")
+    comments = f"<div id='comments' class='comments-area'><ol class='comment-list'><li><article class='comment-body'><p>{LONG}</p></article></ol></div>"
+    page = f"<body class='has-sidebar'>{asides}<div class='sidebar'><aside><article>Teaser</article></aside></div><article><p>{LONG * 3}</p></article>{comments}"
+    assert html_text.main_text(page) == (LONG * 3).strip()
+    assert html_text.main_text(f"<article><p>{LONG}</p><div class='comments'><p>{LONG * 5}</p></div></article>") == LONG.strip()
+
+
+def test_parts_inside_names_do_not_count():
+    page = f"<article><p>{LONG}</p><p class='lead-ad-text'>One.</p><div class='with-sidebar'><p>Two.</p></div></article>"
+    assert html_text.main_text(page).split("\n")[1:] == ["One.", "Two."]
