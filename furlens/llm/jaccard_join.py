@@ -7,7 +7,7 @@ pairs. Two steps come first, both windows of the same kind and both exact:
 
 1. Rings around the empty set. The symmetric difference of two linked sets is at
    most (a + b)(1 - t)/(1 + t), so sizes differ little: sets are dealt to size
-   classes and those near a boundary are replicated to the next class.
+   classes and replicated to every later class that a linked set can be in.
 2. Projections. The hash range is cut into more parts than linked sets of the
    class can have differing elements, so linked sets agree on a whole part
    (distance 0 in that projection). A region is one content of one part.
@@ -119,11 +119,14 @@ class Bounds:
         return self.sizes[c]
 
     def classes(self, n: int) -> list[int]:
-        """The class of size ``n``, and the next one if a partner may be there."""
+        """The class of size ``n``, and every later one where a partner may be."""
         c = 0
         while self.size_class(c)[1] <= n:
             c += 1
-        return [c, c + 1] if n * self.den >= self.num * self.size_class(c)[1] else [c]
+        found = [c]
+        while n * self.den >= self.num * self.size_class(found[-1])[1]:
+            found.append(found[-1] + 1)
+        return found
 
     def part_keys(self, shingles: np.ndarray) -> np.ndarray:
         """Region keys of a set: one per filled part; empty parts too if there are unusually many."""
