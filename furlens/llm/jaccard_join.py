@@ -31,7 +31,7 @@ driver are counts.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 
 import numpy as np
@@ -48,9 +48,10 @@ from furlens.llm.components import components
 CLASS_RATIO = 1.5
 REGION_ROWS = 4096  # a region up to this size, and up to so many differences, is joined in one task
 REGION_ELEMENTS = 1_000_000
+KEY_PASSES = 4  # a set has a key for about every second shingle at 4/5
 
 
-def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
+def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A finaliser that spreads 64-bit values (splitmix64)."""
     with np.errstate(over="ignore"):
         x = x + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) % 2**64)
@@ -77,7 +78,7 @@ def shingle_sets(texts: pa.Array, words: int, seed: int = 0) -> list[np.ndarray]
     rolled = np.zeros(max(0, len(flat) - words + 1), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for j in range(words):
-            rolled = _mixed(rolled + flat[j : j + len(rolled)], j)
+            rolled = mixed(rolled + flat[j : j + len(rolled)], j)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if b - a >= words:
@@ -131,7 +132,7 @@ class Bounds:
     def part_keys(self, shingles: np.ndarray) -> np.ndarray:
         """Region keys of a set: one per filled part; empty parts too if there are unusually many."""
         out = []
-        totals = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(shingles, 7), dtype=np.uint64)])
+        totals = np.concatenate([[np.uint64(0)], np.cumsum(mixed(shingles, 7), dtype=np.uint64)])
         for c in self.classes(len(shingles)):
             _, _, parts, empty = self.size_class(c)
             if parts == 1:
@@ -144,30 +145,31 @@ class Bounds:
                 filled[:] = True
             i = np.flatnonzero(filled)
             with np.errstate(over="ignore"):
-                out.append(_mixed(totals[ends[i]] - totals[starts[i]] + _mixed(i.astype(np.uint64), c)))
+                out.append(mixed(totals[ends[i]] - totals[starts[i]] + mixed(i.astype(np.uint64), c)))
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _identified(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
+SOURCE = "row_file long, row_index long, doc_id long, n_shingles long, sid long, check long"
+
+
+def _identified(batches: Iterator[pa.RecordBatch], words: int, seed: int, keys_of: Callable, passes: int) -> Iterator[pa.RecordBatch]:
+    """The name of each row's set, and where it comes first in a slice its region keys, dealt to columns by their range."""
     for batch in sliced(batches, 0):
         sets = shingle_sets(batch.column(0), words, seed)
         ids = [set_id(s, seed) if len(s) else (None, None) for s in sets]
+        first = list({sid: i for i, (sid, _) in reversed(list(enumerate(ids))) if sid is not None}.values())
+        keys = keys_of([sets[i] for i in first])
+        owner = np.repeat(np.array(first, dtype=np.int64), [len(k) for k in keys])
+        flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
+        part = (flat >> np.uint64(32)) * np.uint64(passes) >> np.uint64(32)
         arrays = [*batch.columns[1:], pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in ids], pa.int64()), pa.array([b for _, b in ids], pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["row_file", "row_index", "doc_id", "n_shingles", "sid", "check"])
-
-
-def _keyed(batches: Iterator[pa.RecordBatch], words: int, seed: int, bounds: Bounds) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, 0):
-        seen, keys, sids = set(), [], []
-        for shingles in shingle_sets(batch.column(0), words, seed):
-            sid = set_id(shingles, seed)[0] if len(shingles) else None
-            if sid is None or sid in seen:
-                continue
-            seen.add(sid)
-            keys.append(bounds.part_keys(shingles))
-            sids.append(np.full(len(keys[-1]), sid, dtype=np.int64))
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sids))], names=["key", "sid"])
+        for i in range(passes):
+            mine = part == i
+            order = np.argsort(owner[mine], kind="stable")
+            counts = np.bincount(owner[mine], minlength=len(sets))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[mine][order].view(np.int64))))
+        yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SOURCE.split(", ")] + [f"keys{i}" for i in range(passes)])
 
 
 def _fetched(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -334,68 +336,108 @@ def _regions(crowded: DataFrame, bounds: Bounds) -> DataFrame:
     )
 
 
+def _part_keys(sets: list[np.ndarray], bounds: Bounds) -> list[np.ndarray]:
+    return [bounds.part_keys(s) for s in sets]
+
+
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """Row keys, doc_id, n_shingles, component_id and class_id (a hash) of each row of ``docs``.
 
     Two rows link when J >= num / den (above 0) of their shingle sets. A null or
     empty text has no shingle and no link: its component is its own doc_id. A
     null doc_id links like any other but names a component only if there is no
-    other id (then it is null). Repeated rows are linked as equal texts. An
-    empty table gives no rows. Only doc_id and text are read.
+    other id (then it is null). Repeated rows are linked as equal texts. Very
+    long texts are read whole, a text at a time. An empty table gives no rows.
+    Only doc_id and text are read.
+
+    Shingles are compared by 64-bit hashes. That two different shingles share
+    one, which could add a link, has a chance of n * n / 2**65 for the n distinct
+    shingles of a region, 3e-8 for a million. Set names that clash are noticed
+    and given anew.
     """
     bounds = Bounds(num, den)
+    return grouped(docs, words, bounds, partial(_part_keys, bounds=bounds), KEY_PASSES)
+
+
+def grouped(docs: DataFrame, words: int, bounds: Bounds, keys_of: Callable, passes: int = 1) -> DataFrame:
+    """Components of sets that meet under a key of ``keys_of`` and whose Jaccard similarity is in ``bounds``.
+
+    ``keys_of`` gives the region keys of each of a list of sets. Keys are kept
+    in ``passes`` columns and shuffled one column after the other, so that the
+    shuffle files of one pass are gone before the next.
+    """
     keyed = with_row_keys(docs.select("doc_id", "text"))
     source = keyed.select(text_or_empty().alias("text"), "row_file", "row_index", F.col("doc_id").cast("long").alias("doc_id"))
     seed = 0
     while True:
-        sets = stored(source.mapInArrow(partial(_identified, words=words, seed=seed), "row_file long, row_index long, doc_id long, n_shingles long, sid long, check long"), "sets")
-        clash = sets.groupBy("sid").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a <> b")
+        work = partial(_identified, words=words, seed=seed, keys_of=keys_of, passes=passes)
+        wide = stored(source.mapInArrow(work, SOURCE + "".join(f", keys{i} array<long>" for i in range(passes))), "keys")
+        clash = wide.groupBy("sid").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a <> b")
         if clash.isEmpty():
             break
+        discard(wide)
         seed += 1
-    regions = source.select("text").mapInArrow(partial(_keyed, words=words, seed=seed, bounds=bounds), "key long, sid long")
-    members = stored(_members(regions, first=True), "members")
-    del regions
-    free_shuffles(docs.sparkSession)
+    sets = stored(wide.select("row_file", "row_index", "doc_id", "n_shingles", "sid"), "sets")
+    found = []
+    for i in range(passes):
+        found.append(stored(_members(wide.select("sid", F.explode(f"keys{i}").alias("key")), first=True), "members"))
+        free_shuffles(docs.sparkSession)
+    discard(wide)
+    members = found[0]
+    if passes > 1:
+        members = stored(reduce(DataFrame.union, found).distinct(), "members")
+        discard(*found)
+    links = _verified_links(source, sets, members, words, seed, bounds)
 
-    wanted = members.select("sid").union(members.select("p")).distinct()
-    places = stored(sets.join(small(wanted), "sid").groupBy("sid", "n_shingles").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "n_shingles", "at.*"), "places")
-    texts = source.select("text", "row_file", "row_index").join(small(places), ["row_file", "row_index"])
-    contents = stored(texts.select("text", "sid").mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
+    named = sets.withColumn("root", F.col("sid"))
+    if links:
+        roots = stored(components(reduce(DataFrame.union, links)), "roots")
+        discard(*links)
+        named = stored(sets.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node"), "named")
+        discard(roots)
+    # both sides of the last join are tables, so that a component of very many rows can be split
+    ids = stored(named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "ids")
+    return named.join(ids, "root", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("root").alias("class_id"), "row_file", "row_index"
+    )
 
-    links = []
+
+def _verified_links(source: DataFrame, sets: DataFrame, members: DataFrame, words: int, seed: int, bounds: Bounds) -> list[DataFrame]:
+    """Tables of links (a, b) that connect what is connected inside the regions of ``members`` (cell, p, sid)."""
+    spark = source.sparkSession
+    wanted = members.select("sid").union(members.select("p")).distinct()
+    places = stored(sets.join(wanted, "sid").groupBy("sid", "n_shingles").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "n_shingles", "at.*"), "places")
+    sizes = places.select("sid", "n_shingles")
+    links, contents = [], None
     while not members.isEmpty():
         all_rows = members.union(members.select("cell", "p", F.col("p").alias("sid")).distinct())
-        sized = all_rows.join(small(places.select("sid", "n_shingles")), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+        sized = all_rows.join(small(sizes), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
         cells = stored(sized.select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
-        # regions of bounded size: each in one task
-        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").join(small(places.select("sid", "n_shingles")), "sid")
+        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").join(small(sizes), "sid")
         held_rows = stored(_with_partners(held, bounds), "held")
-        held = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
-        joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
+        crowded = stored(members.join(small(cells.filter("not bounded").select("cell")), "cell").select("cell", "p", "sid"), "crowded")
+        if contents is None:  # later regions hold sets of the first ones only
+            wanted = held_rows.select("sid").union(crowded.select("sid")).union(crowded.select("p")).distinct()
+            rows = places.join(small(stored(wanted, "wanted")), "sid")
+            texts = source.select("text", "row_file", "row_index").join(small(stored(rows, "rows")), ["row_file", "row_index"])
+            contents = stored(texts.select("text", "sid").mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
+        # regions of bounded size: each in one task
+        joined = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
+        joined = joined.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
         links.append(stored(joined, "joined"))
+        free_shuffles(spark)
         # crowded ones: all members against the pivot, and what is left to smaller regions
-        held = members.join(small(cells.filter("not bounded").select("cell")), "cell").select("cell", "p", "sid")
-        mine = contents.join(small(held), "sid")
+        mine = contents.join(small(crowded), "sid")
         compared = mine.join(contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot")), "p").select("cell", "p", "sid", "shingles", "pivot")
         compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), COMPARED_TYPES), "compared")
         links.append(stored(compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")), "compared"))
         regions = stored(_regions(compared, bounds), "regions")
         following = stored(_members(regions, first=False), "members")
-        discard(members, cells, compared, regions, held_rows)
+        discard(members, cells, compared, regions, held_rows, crowded)
         members = following
-        free_shuffles(docs.sparkSession)
-    discard(members, places, contents)
-
-    named = sets.withColumn("root", F.col("sid"))
-    if links:
-        roots = stored(components(reduce(DataFrame.union, links)), "roots")
-        discard(*links)
-        named = sets.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-    ids = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(ids, "root", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("root").alias("class_id"), "row_file", "row_index"
-    )
+        free_shuffles(spark)
+    discard(members, places, *([contents] if contents is not None else []))
+    return links
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -409,7 +451,7 @@ def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -
 
 
 def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("row_file", "row_index")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("row_file", "row_index", "class_id")
 
 
 OP10_SQL = r"""

@@ -22,7 +22,9 @@ def test_query_against_duckdb(spark, name):
     expected = con.sql(sql)
     columns = sorted(expected.columns)
     want = sorted(map(repr, expected.project(", ".join(columns)).limit(10**7).fetchall()))
-    rows = query(spark, SF).select(*columns).collect()
+    found = query(spark, SF)
+    assert sorted(found.columns) == columns
+    rows = found.select(*columns).collect()
     assert sorted(repr(tuple(r)) for r in rows) == want
 
 
