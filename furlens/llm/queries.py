@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, licenses, mixing, packing, topk, toxicity
+from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, licenses, mixing, packing, superminhash, topk, toxicity
 
 REGISTERED = {
     "op1_license_windows": (licenses.op1_license_windows, licenses.OP1_SQL),
@@ -15,4 +15,5 @@ REGISTERED = {
     "op8_power_of_two": (packing.op8_power_of_two, None),
     "op9_temperature": (mixing.op9_temperature, mixing.OP9_SQL),
     "op10_metric_join": (jaccard_join.op10_metric_join, jaccard_join.OP10_SQL),
+    "op11_superminhash": (superminhash.op11_superminhash, superminhash.OP11_SQL),
 }
