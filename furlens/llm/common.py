@@ -21,7 +21,7 @@ from furlens.session import shared_dir
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-BROADCAST_ROWS = 500_000  # of 16 bytes; larger sides are shuffled
+BROADCAST_BYTES = 16_000_000  # larger sides are shuffled
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,12 +99,35 @@ def with_row_keys(docs: DataFrame) -> DataFrame:
         return stored(docs, "rows").withColumns(keys)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it was counted to be small, else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
+WIDTHS = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4}
 
 
-def without_rows(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``keyed`` rows whose keys are not in ``dropped``; the keys go."""
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 16, and what its columns hold."""
+    total = F.lit(16)
+    for field in df.schema.fields:
+        kind = field.dataType
+        if kind.typeName() in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind.typeName() == "array":
+            total = total + WIDTHS.get(kind.elementType.typeName(), 8) * F.coalesce(F.size(field.name), F.lit(0))
+        else:
+            total = total + F.lit(WIDTHS.get(kind.typeName(), 8))
+    return total
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its bytes were counted to be few, else as it is. Give it a stored table: it is read twice."""
+    return F.broadcast(df) if (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= most else df
+
+
+def by_place(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with row keys and numbered columns, whose names clash with nothing, and (doc_id, text) of the same rows."""
+    keyed = with_row_keys(docs.toDF(*(f"column{i}" for i in range(len(docs.columns)))))
+    return keyed, keyed.select(*(F.col(f"column{docs.columns.index(c)}").alias(c) for c in ("doc_id", "text")))
+
+
+def without_rows(keyed: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
+    """``keyed`` rows whose keys are not in ``dropped``, under the names ``columns`` of their documents."""
     keys = ["row_file", "row_index"]
-    return keyed.join(small(dropped.select(*keys)), keys, "left_anti").drop(*keys)
+    return keyed.join(small(stored(dropped.select(*keys), "dropped")), keys, "left_anti").drop(*keys).toDF(*columns)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import WHITE, discard, free_shuffles, stored, table, text_or_empty, with_row_keys, without_rows
+from furlens.llm.common import WHITE, by_place, discard, free_shuffles, stored, table, text_or_empty, with_row_keys, without_rows
 
 BLOCK_CHARS = 1024
 
@@ -132,10 +132,10 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
 
 
 def deduplicated(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they are."""
-    keyed = with_row_keys(docs)
-    decisions = stored(exact_duplicates(keyed.drop("row_file", "row_index"), block_chars), "decisions")
-    return without_rows(keyed, decisions.filter("not kept"))
+    """``docs`` with one row of each group of equal texts, all columns as they are, whatever their names."""
+    keyed, texts = by_place(docs)
+    decisions = stored(exact_duplicates(texts, block_chars), "decisions")
+    return without_rows(keyed, decisions.filter("not kept"), docs.columns)
 
 
 def op3_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from furlens.llm.common import discard, free_shuffles, sliced, small, stored, table, text_or_empty, with_row_keys, without_rows
+from furlens.llm.common import by_place, discard, free_shuffles, sliced, small, stored, table, text_or_empty, with_row_keys, without_rows
 from furlens.llm.components import components
 
 CLASS_RATIO = 1.5
@@ -181,6 +181,19 @@ def _fetched(batches: Iterator[pa.RecordBatch], words: int, seed: int) -> Iterat
         yield pa.RecordBatch.from_arrays([batch.column(1), lists], names=["sid", "shingles"])
 
 
+def _dealt(batches: Iterator[pa.RecordBatch], words: int, seed: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Each set once for each of its regions, in batches of about ``most`` bytes or one row."""
+    for batch in sliced(batches, 0):
+        sids = batch.column(1).to_numpy()
+        for sid, cells, pivots, shingles in zip(sids, batch.column(2), batch.column(3), shingle_sets(batch.column(0), words, seed)):
+            cells, pivots = cells.values.to_numpy(), pivots.values.to_numpy()
+            rows = max(1, most // max(1, shingles.nbytes))
+            for a in range(0, len(cells), rows):
+                n = len(cells[a : a + rows])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(shingles)), pa.array(np.tile(shingles, n).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(cells[a : a + rows]), pa.array(pivots[a : a + rows]), pa.array(np.full(n, sid)), lists], names=["cell", "p", "sid", "shingles"])
+
+
 def _compared(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.RecordBatch]:
     """Distance of each set to its pivot, as link flag and ring, and the elements in which they differ."""
     num, den = bounds.num, bounds.den
@@ -408,6 +421,11 @@ def _verified_links(source: DataFrame, sets: DataFrame, members: DataFrame, word
     wanted = members.select("sid").union(members.select("p")).distinct()
     places = stored(sets.join(wanted, "sid").groupBy("sid", "n_shingles").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "n_shingles", "at.*"), "places")
     sizes = places.select("sid", "n_shingles")
+
+    def texts_of(rows: DataFrame, *columns: str) -> DataFrame:
+        """Texts of the named sets; the rows are few and narrow, the texts are read in place if they can be."""
+        return source.select("text", "row_file", "row_index").join(small(stored(rows, "rows")), ["row_file", "row_index"]).select("text", "sid", *columns)
+
     links, contents = [], None
     while not members.isEmpty():
         all_rows = members.union(members.select("cell", "p", F.col("p").alias("sid")).distinct())
@@ -416,17 +434,22 @@ def _verified_links(source: DataFrame, sets: DataFrame, members: DataFrame, word
         held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").join(small(sizes), "sid")
         held_rows = stored(_with_partners(held, bounds), "held")
         crowded = stored(members.join(small(cells.filter("not bounded").select("cell")), "cell").select("cell", "p", "sid"), "crowded")
-        if contents is None:  # later regions hold sets of the first ones only
-            wanted = held_rows.select("sid").union(crowded.select("sid")).union(crowded.select("p")).distinct()
-            rows = places.join(small(stored(wanted, "wanted")), "sid")
-            texts = source.select("text", "row_file", "row_index").join(small(stored(rows, "rows")), ["row_file", "row_index"])
-            contents = stored(texts.select("text", "sid").mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
         # regions of bounded size: each in one task
-        joined = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
-        joined = joined.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
+        if contents is None:  # a set's regions go to its text, so that sets are shuffled once, by region
+            dealt = held_rows.groupBy("sid").agg(F.collect_list("cell").alias("cells"), F.collect_list("p").alias("pivots"))
+            texts = texts_of(places.join(dealt, "sid"), "cells", "pivots")
+            held = texts.mapInArrow(partial(_dealt, words=words, seed=seed), "cell long, p long, sid long, shingles array<long>")
+        else:
+            held = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
+        joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
         links.append(stored(joined, "joined"))
+        del held, joined
         free_shuffles(spark)
         # crowded ones: all members against the pivot, and what is left to smaller regions
+        if contents is None:  # later regions hold sets of the first crowded ones only
+            wanted = crowded.select("sid").union(crowded.select("p")).distinct()
+            texts = texts_of(places.join(wanted, "sid"))
+            contents = stored(texts.mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
         mine = contents.join(small(crowded), "sid")
         compared = mine.join(contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot")), "p").select("cell", "p", "sid", "shingles", "pivot")
         compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), COMPARED_TYPES), "compared")
@@ -441,13 +464,16 @@ def _verified_links(source: DataFrame, sets: DataFrame, members: DataFrame, word
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """``docs`` with one row of each component: the longest in shingles, then the smallest doc_id, then the first row."""
-    keyed = with_row_keys(docs)
-    found = stored(jaccard_components(keyed.drop("row_file", "row_index"), words, num, den), "classes")
-    grouped = found.filter("n_shingles > 0")
+    """``docs`` with one row of each component: the longest in shingles, then the smallest doc_id, then the first row.
+
+    All columns stay as they are, whatever their names. Rows without words stay.
+    """
+    keyed, texts = by_place(docs)
+    found = stored(jaccard_components(texts, words, num, den), "classes")
+    grouped_rows = found.filter("n_shingles > 0")
     order = F.struct((-F.col("n_shingles")).alias("size"), F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("row_file").alias("row_file"), F.col("row_index").alias("row_index"))
-    kept = grouped.groupBy("class_id").agg(F.min(order).alias("keep")).select(F.col("keep.row_file").alias("row_file"), F.col("keep.row_index").alias("row_index"))
-    return without_rows(keyed, grouped.join(kept, ["row_file", "row_index"], "left_anti"))
+    kept = grouped_rows.groupBy("class_id").agg(F.min(order).alias("keep")).select(F.col("keep.row_file").alias("row_file"), F.col("keep.row_index").alias("row_index"))
+    return without_rows(keyed, grouped_rows.join(kept, ["row_file", "row_index"], "left_anti"), docs.columns)
 
 
 def op10_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,12 +14,12 @@ from hypothesis import strategies as st
 
 from furlens.llm import chat, common, components, exact_dedup, html_text, jaccard_join, language, licenses, mixing, packing, topk, toxicity
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, name string, `row` long, pos int, key string, cell long, share double"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, name string, `row` long, pos int, key string, cell long, share double, row_file string, row_index string"
 
 
 def docs_of(spark, rows):
     """Rows (doc_id, text, source) with columns whose names the operators use inside."""
-    return spark.createDataFrame([(i, t, "en", s, 1, "n", 2, 3, "k", 4, 0.5) for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, "en", s, 1, "n", 2, 3, "k", 4, 0.5, "f", "i") for i, t, s in rows], DOCS)
 
 
 ODD = [
