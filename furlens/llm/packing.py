@@ -23,7 +23,7 @@ from furlens.llm.common import per_process, sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
-MOST_WORDS = 200_000  # remembered by a worker
+MOST_WORDS = 1_000_000  # remembered by a worker, about 160 MB
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -57,25 +57,13 @@ class WordEncoder:
         self.place: dict[str, int] = {}
         self.ids, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def places(self, words: list[str]) -> np.ndarray:
-        """Where the ids of each word begin and end in what is remembered."""
-        unknown = [w for w in dict.fromkeys(words) if w not in self.place]
-        if unknown:
-            ids, counts = self._ids(unknown)
-            self.place.update(zip(unknown, range(len(self.place), len(self.place) + len(unknown))))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.ids = np.concatenate([self.ids, ids])
-        return np.fromiter((self.place[w] for w in words), dtype=np.int64, count=len(words))
-
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the number of ids of each word."""
         plain = [w if DELIMITER not in w else "" for w in words]
         joined = [DELIMITER.join(plain[i : i + self.per_call]) for i in range(0, len(plain), self.per_call)]
         found = []
         for encoding in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
-            found.append(np.asarray(encoding.ids, dtype=np.uint32))
-            found.append(np.array([self.delimiter], dtype=np.uint32))
+            found += [np.asarray(encoding.ids, dtype=np.uint32), np.array([self.delimiter], dtype=np.uint32)]
         flat = np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
         ends = np.flatnonzero(flat == self.delimiter)
         counts = np.diff(np.concatenate([[-1], ends])) - 1
@@ -89,33 +77,57 @@ class WordEncoder:
             flat = np.concatenate(parts)
         return flat, counts
 
-    def documents(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text."""
+    def _remember(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, words: pa.Array) -> None:
+        """Remember the ids of new words: those of a core and of the marks that end it, each encoded once."""
+        core = pc.utf8_rtrim(words, characters=TAIL_MARKS)
+        after_letter = pc.utf8_is_alpha(pc.utf8_slice_codeunits(core, -1))
+        core = pc.if_else(pc.and_not(after_letter, pc.match_substring(words, SPECIAL)), core, words)
+        trimmed = pc.not_equal(pc.binary_length(core), pc.binary_length(words))
+        names, cores = words.filter(trimmed).to_pylist(), core.filter(trimmed).to_pylist()
+        tails = [w[len(c) :] for w, c in zip(names, cores)]
+        place = self.place
+        new = [w for w in dict.fromkeys([*words.filter(pc.invert(trimmed)).to_pylist(), *cores, *tails]) if w not in place]
+        self._remember(new, *self._encoded(new))
+        both = np.empty((len(names), 2), dtype=np.int64)
+        both[:, 0] = np.fromiter(map(place.__getitem__, cores), dtype=np.int64, count=len(names))
+        both[:, 1] = np.fromiter(map(place.__getitem__, tails), dtype=np.int64, count=len(names))
+        self._remember(names, _gathered(self.ids, self.starts, self.counts, both.ravel()), self.counts[both].sum(1))
+
+    def documents(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end_id`` after each, and where each text begins, with the end last."""
         texts = texts.cast(pa.large_string())
         # special tokens are matched before letters are lower-cased, so texts that may hold one stay as they are
         special = pc.any(pc.match_substring(texts, SPECIAL)).as_py()
         split = pc.ascii_split_whitespace(texts if special else pc.ascii_lower(texts))
-        words_in = np.diff(split.offsets.to_numpy(zero_copy_only=False))
+        word_bounds = split.offsets.to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
-        distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        core = pc.utf8_rtrim(distinct, characters=TAIL_MARKS)
-        cut = pc.utf8_is_alpha(pc.utf8_slice_codeunits(core, -1))
-        core = pc.if_else(pc.and_not(cut, pc.match_substring(distinct, SPECIAL)), core, distinct)
-        tail = pa.array([w[len(c) :] for w, c in zip(distinct.to_pylist(), core.to_pylist())], pa.large_string())
-        cores, tails = core.dictionary_encode(), tail.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
         if len(self.place) > MOST_WORDS:
             self._forget()
-        core_place, tail_place = self.places(cores.dictionary.to_pylist()), self.places(tails.dictionary.to_pylist())
-        pieces = np.empty((len(codes), 2), dtype=np.int64)
-        pieces[:, 0] = core_place[cores.indices.to_numpy(zero_copy_only=False)][codes]
-        pieces[:, 1] = tail_place[tails.indices.to_numpy(zero_copy_only=False)][codes]
-        pieces = pieces.ravel()
-        n = self.counts[pieces]
-        ends = np.cumsum(n)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[pieces] - (ends - n), n)
-        flat = self.ids[where]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(2 * words_in)]).astype(np.int64)]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        distinct = coded.dictionary.to_pylist()
+        unknown = [i for i, w in enumerate(distinct) if w not in self.place]
+        if unknown:
+            self._learn(coded.dictionary.take(pa.array(unknown)))
+        places = np.fromiter(map(self.place.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        # the end of a text is one more word, after the last one
+        starts, counts = np.append(self.starts[places], len(self.ids)), np.append(self.counts[places], 1)
+        words = np.insert(codes.astype(np.int64), word_bounds[1:], len(distinct))
+        ends = np.cumsum(counts[words])
+        last = word_bounds[1:] + np.arange(len(texts))
+        return _gathered(np.append(self.ids, np.uint32(end_id)), starts, counts, words), np.concatenate([[0], ends[last]]).astype(np.int64)
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The ids of each entry of ``which`` in a row."""
+    n = counts[which]
+    ends = np.cumsum(n)
+    return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[which] - (ends - n), n)]
 
 
 def piece_lengths(n: int, longest: int) -> list[int]:
@@ -124,18 +136,26 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << k for k in range(longest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
+def _pieces(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The document and the length of each piece of documents of so many ids."""
+    digits = 1 << np.arange(longest.bit_length() - 2, -1, -1, dtype=np.int64)  # below a full piece, largest first
+    times = np.column_stack([tokens // longest, (tokens[:, None] & digits) > 0]).astype(np.int64)
+    lengths = np.repeat(np.tile(np.append(longest, digits), len(tokens)), times.ravel())
+    return np.repeat(np.arange(len(tokens)), times.sum(1)), lengths
+
+
 def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder = per_process(("WordEncoder", path), partial(WordEncoder, path))
     for batch in sliced(batches, 1):
-        out = [[] for _ in range(5)]
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1))):
-            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-            raw, start = memoryview(ids.tobytes()), 0
-            for length in piece_lengths(len(ids), longest):
-                for column, value in zip(out, (doc_id, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), len(ids))):
-                    column.append(value)
-                start += length
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        ids, bounds = encoder.documents(batch.column(1), end_id)
+        tokens = np.diff(bounds)
+        document, lengths = _pieces(tokens, longest)
+        ends = np.cumsum(lengths)  # the pieces follow each other as the documents do
+        starts = ends - lengths
+        raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+        crcs = [zlib.crc32(raw[a:b]) for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+        columns = [batch.column(0).take(pa.array(document)), pa.array(starts - bounds[document]), pa.array(lengths), pa.array(crcs, pa.int64()), pa.array(tokens[document])]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -144,7 +164,8 @@ def packed(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUEN
     A null or empty text is the end id alone. ``sequence`` is a power of two;
     ``bucket`` is the length that the piece's sequence shares with all others of
     that bucket. A null doc_id stays null and repeated rows are packed each by
-    itself; an empty table gives no rows. Only doc_id and text are read.
+    itself; an empty table gives no rows. A very long text is encoded whole, a
+    text at a time. Only doc_id and text are read.
     """
     if sequence & (sequence - 1):
         raise ValueError("sequence length must be a power of two")

@@ -187,9 +187,9 @@ def test_word_memory_is_bounded(monkeypatch):
 
     encoder = packing.WordEncoder(packing.default_tokenizer())
     texts = pa.array([f"alpha{i} beta, gamma." for i in range(50)])
-    first = [d.tolist() for d in encoder.documents(texts)]
+    first = [x.tolist() for x in encoder.documents(texts, 1)]
     monkeypatch.setattr(packing, "MOST_WORDS", 1)
-    assert [d.tolist() for d in encoder.documents(texts)] == first and len(encoder.place) <= 60
+    assert [x.tolist() for x in encoder.documents(texts, 1)] == first and len(encoder.place) <= 60
 
 
 # mixing
