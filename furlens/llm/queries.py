@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, licenses, mixing, packing, spelling, superminhash, topk, toxicity
+from furlens.llm import chat, exact_dedup, html_text, jaccard_join, language, lexical, licenses, mixing, packing, spelling, superminhash, topk, toxicity
 
 REGISTERED = {
     "op1_license_windows": (licenses.op1_license_windows, licenses.OP1_SQL),
@@ -17,4 +17,5 @@ REGISTERED = {
     "op10_metric_join": (jaccard_join.op10_metric_join, jaccard_join.OP10_SQL),
     "op11_superminhash": (superminhash.op11_superminhash, superminhash.OP11_SQL),
     "op12_reduced_alphabet": (spelling.op12_reduced_alphabet, spelling.OP12_SQL),
+    "op13_dual_tree": (lexical.op13_dual_tree, lexical.OP13_SQL),
 }
