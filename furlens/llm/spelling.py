@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furlens.llm.common import discard, free_shuffles, sliced, stored, table, text_or_empty
@@ -31,6 +32,7 @@ LEAST_LENGTH = 5
 LEAST_COUNT = 3
 NOISE = 97  # one in so many runs of a document loses a letter
 SYMBOLS = 4
+PASSES = 2  # over the words whose neighbourhoods are generated; all are looked up in each
 VARIANTS_PER_BATCH = 400_000
 PLAIN_BYTES = 64  # longer words are hashed one by one
 
@@ -181,10 +183,10 @@ class Hashes:
         return np.arange(cut, places) if side == 0 else np.arange(cut)
 
 
-def _by_length(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[tuple[np.ndarray, Hashes]]:
-    """Ids and hashes of words of one length at a time, few enough for a batch of neighbours."""
+def _by_length(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, Hashes]]:
+    """Rows of a batch whose words have one length, few enough for a batch of neighbours, and their hashes."""
     for batch in batches:
-        ids, lengths = batch.column(0).to_numpy(), pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        lengths = pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False)
         for length in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == length)
             step = max(1, VARIANTS_PER_BATCH // ((2 * symbols + 2) * length))
@@ -192,23 +194,28 @@ def _by_length(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[tupl
                 part = at[a : a + step]
                 joined = "".join(batch.column(1).take(pa.array(part)).to_pylist())
                 points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).reshape(len(part), length)
-                yield ids[part], Hashes(points.astype(np.uint64), symbols)
+                yield batch, part, Hashes(points.astype(np.uint64), symbols)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[pa.RecordBatch]:
-    for ids, hashes in _by_length(batches, symbols):
-        rows, keys = hashes.neighbourhood()
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[rows])], names=["key", "id"])
+    for batch, rows, hashes in _by_length(batches, symbols):
+        of, keys = hashes.neighbourhood()
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(0).take(pa.array(rows[of]))], names=["key", "id"])
 
 
 def _found_under(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[pa.RecordBatch]:
-    for ids, hashes in _by_length(batches, symbols):
+    for batch, rows, hashes in _by_length(batches, symbols):
         keys = hashes.own()
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, keys.shape[1])), pa.array(np.tile(np.array([0, 1, 0, 1], dtype=np.int8), len(ids)))], names=["key", "id", "side"])
+        at = pa.array(np.repeat(rows, keys.shape[1]))
+        columns = [pa.array(keys.ravel().view(np.int64)), batch.column(1).take(at), batch.column(2).take(at), pa.array(np.tile(np.array([0, 1, 0, 1], dtype=np.int8), len(rows)))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "near_word", "near_n", "side"])
 
 
-def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
-    """(word, n, near_word, near_n): all ordered pairs of distinct words of a stored (id, word, n) that differ by one edit."""
+def near_words(words: DataFrame, symbols: int = SYMBOLS, which: Column | None = None) -> DataFrame:
+    """(id, word, n, near_word, near_n): all ordered pairs of distinct words of a stored (id, word, n) that differ by one edit.
+
+    With ``which``, only pairs whose first word fulfils it.
+    """
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _neighbours(batches, symbols)
@@ -216,11 +223,10 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     def found_under(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _found_under(batches, symbols)
 
-    narrow = words.select("id", "word")
-    reduced = narrow.mapInArrow(found_under, "key long, near long, side byte")
-    candidates = narrow.mapInArrow(neighbours, "key long, id long").join(reduced.hint("shuffle_hash"), "key").filter("id <> near").select("id", "near", "side")
-    pairs = candidates.join(words.select(F.col("id").alias("near"), F.col("word").alias("near_word"), F.col("n").alias("near_n")), "near")
-    pairs = pairs.join(words, "id")
+    wanted = words if which is None else words.filter(which)
+    reduced = words.select("id", "word", "n").mapInArrow(found_under, "key long, near_word string, near_n long, side byte")
+    candidates = wanted.select("id", "word").mapInArrow(neighbours, "key long, id long").join(reduced.hint("shuffle_hash"), "key")
+    pairs = candidates.drop("key").join(wanted, "id")
     # a pair with equal first halves is found by them already
     half = F.floor(F.least(F.char_length("word"), F.char_length("near_word")) / 2).cast("int")
     once = (F.col("side") == 0) | (F.substring(F.col("word"), F.lit(1), half) != F.substring(F.col("near_word"), F.lit(1), half))
@@ -240,14 +246,18 @@ def variants(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int
     spark = docs.sparkSession
     words = stored(vocabulary(docs, least_length, least_count, noise).withColumn("id", F.monotonically_increasing_id()), "words")
     best = F.min(F.struct((-F.col("near_n")).alias("order"), F.col("near_word").alias("form")))
-    near = stored(near_words(words, symbols).groupBy("id").agg(F.count("*").alias("n_near"), best.alias("best")), "near")
-    free_shuffles(spark)
+    near = []
+    for i in range(PASSES):  # so that the shuffle files of one pass are gone before the next
+        pairs = near_words(words, symbols, F.pmod(F.xxhash64("word"), F.lit(PASSES)) == i)
+        near.append(stored(pairs.groupBy("id").agg(F.count("*").alias("n_near"), best.alias("best")), "near"))
+        del pairs
+        free_shuffles(spark)
     often = -F.col("best.order") >= 2 * F.col("n")
-    rows = words.join(near, "id", "left").select(
+    rows = words.join(reduce(DataFrame.union, near), "id", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(often, F.col("best.form")).alias("form"), F.when(often, -F.col("best.order")).alias("form_n")
     )
     rows = stored(rows, "forms")
-    discard(words, near)
+    discard(words, *near)
     # each round doubles the steps; a form occurs twice as often as its word, so there are few
     steps = stored(rows.filter("form is not null").select("word", F.col("form").alias("root")), "roots")
     while True:
