@@ -79,6 +79,9 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYT
             if b > a:
                 # a copy: some Arrow string functions misread slices that begin inside an array
                 yield batch.take(pa.array(np.arange(a, b)))
+        # workers are kept for later tasks, beside which this memory would stay
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -277,34 +277,44 @@ def _region_links(sids: np.ndarray, pivots: np.ndarray, flat: np.ndarray, offset
     return links
 
 
+def _links_within(rows: pa.RecordBatch, bounds: Bounds) -> pa.RecordBatch:
+    """The links of whole regions, whose rows follow each other."""
+    cell, p, sids = (rows.column(i).to_numpy() for i in range(3))
+    offsets = rows.column(3).offsets.to_numpy()
+    flat, offsets = rows.column(3).flatten().to_numpy().view(np.uint64), offsets - offsets[0]
+    cuts = (np.flatnonzero(np.diff(cell)) + 1).tolist()
+    links = []
+    for a, b in zip([0, *cuts], [*cuts, len(cell)]):
+        links += _region_links(sids[a:b], p[a:b], flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bounds)
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+
 def _joined(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.RecordBatch]:
-    """The links of each region; rows of a region follow each other."""
+    """The links of each region; rows of a region follow each other. Only a batch's last region is copied and kept."""
     held: list[pa.RecordBatch] = []
 
-    def closed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        region = pa.Table.from_batches(rows).combine_chunks()
-        lists = region["shingles"].combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        cell, p, sids = (region[c].to_numpy() for c in ("cell", "p", "sid"))
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        flat, cuts = lists.flatten().to_numpy().view(np.uint64), np.flatnonzero(np.diff(cell)) + 1
-        links = []
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
-            links += _region_links(sids[a:b], p[a:b], flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bounds)
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+    def kept() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        # all but the last region of the batch are whole
-        cell = batch.column(0).to_numpy()
-        first_of_last = int(np.flatnonzero(cell == cell[-1])[0])
-        if first_of_last or (held and held[-1].column(0)[0].as_py() != cell[-1]):
-            yield closed([*held, batch.slice(0, first_of_last)])
-            held = []
-        held.append(batch.slice(first_of_last))
+        cell, start = batch.column(0).to_numpy(), 0
+        if held:
+            other = cell != held[0].column(0)[0].as_py()
+            start = int(np.argmax(other)) if other.any() else batch.num_rows
+            held.append(batch.slice(0, start))
+            if start == batch.num_rows:
+                continue
+            yield _links_within(kept(), bounds)
+        last = int(np.argmax(cell == cell[-1]))
+        if last > start:
+            yield _links_within(batch.slice(start, last - start), bounds)
+        held = [batch.take(pa.array(np.arange(last, batch.num_rows)))]
+        del batch
+        pa.default_memory_pool().release_unused()
     if held:
-        yield closed(held)
+        yield _links_within(kept(), bounds)
 
 
 def _members(regions: DataFrame, first: bool) -> DataFrame:
