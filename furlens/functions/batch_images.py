@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from furlens.functions.resample import STEP, resample
+
 TENSOR = ArrayType(ArrayType(ArrayType(IntegerType())))
 
 
@@ -44,8 +46,19 @@ def _decode(data: pa.Array, height: pa.Array, width: pa.Array, channels: pa.Arra
 decode = _decode.asNondeterministic()
 
 
-def batch_resize(images: pa.ListArray, out_height: int, out_width: int) -> pa.Array:
-    """Nearest-neighbour resize to RGB: target cell i reads source cell floor((i + 0.5) * n / m).
+FILTERS = ("nearest", "bicubic")
+
+
+def _nearest(block: np.ndarray, out_height: int, out_width: int) -> np.ndarray:
+    """Target cell i reads source cell floor((i + 0.5) * n / m)."""
+    h, w, _ = block.shape
+    at_row = ((np.arange(out_height) + 0.5) * h / out_height).astype(np.int64)
+    at_column = ((np.arange(out_width) + 0.5) * w / out_width).astype(np.int64)
+    return block[at_row[:, None], at_column]
+
+
+def batch_resize(images: pa.ListArray, out_height: int, out_width: int, filter: str = "nearest") -> pa.Array:
+    """Resize to RGB by one of ``FILTERS``; images of one shape are resampled together.
 
     One channel is repeated, alpha is dropped. NULL, empty and ragged images
     give NULL.
@@ -55,7 +68,8 @@ def batch_resize(images: pa.ListArray, out_height: int, out_width: int) -> pa.Ar
     o3, cells = lists(pixels)
     values = np.asarray(cells.fill_null(0) if cells.null_count else cells)
     missing = np.asarray(images.is_null()).copy()
-    blocks = []
+    blocks: dict[int, np.ndarray] = {}
+    shapes: dict[tuple[int, int], list[int]] = {}
     for i in range(len(images)):
         h = 0 if missing[i] else int(o1[i + 1] - o1[i])
         widths = np.diff(o2[o1[i] : o1[i + 1] + 1])
@@ -64,21 +78,30 @@ def batch_resize(images: pa.ListArray, out_height: int, out_width: int) -> pa.Ar
             missing[i] = True
             continue
         w, depth = int(widths[0]), int(depths[0])
-        at_row = ((np.arange(out_height) + 0.5) * h / out_height).astype(np.int64)
-        at_column = ((np.arange(out_width) + 0.5) * w / out_width).astype(np.int64)
-        pixel = o3[o2[o1[i]]] + (at_row[:, None] * w + at_column) * depth
-        channel = np.arange(3) if depth >= 3 else np.zeros(3, np.int64)
-        blocks.append(values[pixel[:, :, None] + channel].ravel())
-    flat = np.concatenate(blocks) if blocks else np.zeros(0, np.int32)
+        start = o3[o2[o1[i]]]
+        block = values[start : start + h * w * depth].reshape(h, w, depth)
+        block = block[:, :, :3] if depth >= 3 else np.repeat(block[:, :, :1], 3, axis=2)
+        if filter == "nearest":
+            blocks[i] = _nearest(block, out_height, out_width)
+        else:
+            blocks[i] = block
+            shapes.setdefault((h, w), []).append(i)
+    for alike in shapes.values():
+        for a in range(0, len(alike), STEP):
+            some = alike[a : a + STEP]
+            blocks.update(zip(some, resample(np.stack([blocks[i] for i in some]), out_height, out_width)))
+    flat = np.concatenate([blocks[i].ravel() for i in sorted(blocks)]) if blocks else np.zeros(0, np.int32)
     heights = np.where(missing, 0, out_height)
     return nested(flat, heights, np.full(len(images), out_width), np.full(len(images), 3), missing)
 
 
-def resize_nearest(out_height: int, out_width: int):
-    """Arrow UDF for a fixed target size, marked to be evaluated where it stands."""
+def resizer(out_height: int, out_width: int, filter: str):
+    """Arrow UDF for a fixed target size and filter, marked to be evaluated where it stands."""
+    if filter not in FILTERS:
+        raise ValueError(f"filter must be one of {FILTERS}")
 
     @F.arrow_udf(TENSOR)
     def resize(images: pa.Array) -> pa.Array:
-        return batch_resize(images, out_height, out_width)
+        return batch_resize(images, out_height, out_width, filter)
 
     return resize.asNondeterministic()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from furlens.functions import labels, tensors, text
-from furlens.functions.batch_images import resize_nearest
+from furlens.functions.batch_images import resizer
 
 # Acceptance rules of a download.
 MIN_CONTENT_LENGTH = 10000
@@ -78,14 +78,14 @@ def keep_content(df: DataFrame, tensor: str = "tensor") -> DataFrame:
     return df.filter(tensors.has_content(F.col(tensor)))
 
 
-def resize(df: DataFrame, tensor: str = "tensor", out: str = "resized", side: int = RESIZED_SIDE) -> DataFrame:
-    """Add an RGB copy of ``side`` x ``side`` by nearest neighbour."""
-    return df.withColumn(out, resize_nearest(side, side)(F.col(tensor).cast("array<array<array<int>>>")))
+def resize(df: DataFrame, tensor: str = "tensor", out: str = "resized", side: int = RESIZED_SIDE, filter: str = "nearest") -> DataFrame:
+    """Add an RGB copy of ``side`` x ``side``, by the nearest cell or bicubic with antialiasing."""
+    return df.withColumn(out, resizer(side, side, filter)(F.col(tensor).cast("array<array<array<int>>>")))
 
 
-def keep_content_twice(df: DataFrame, tensor: str = "tensor", side: int = RESIZED_SIDE) -> DataFrame:
+def keep_content_twice(df: DataFrame, tensor: str = "tensor", side: int = RESIZED_SIDE, filter: str = "nearest") -> DataFrame:
     """The content check before and after the resize; adds ``resized``."""
-    return keep_content(resize(keep_content(df, tensor), tensor, "resized", side), "resized")
+    return keep_content(resize(keep_content(df, tensor), tensor, "resized", side, filter), "resized")
 
 
 def top_candidates(df: DataFrame, order: list[Column], n: int = MAX_PER_KEYWORD, keyword: str = "keyword") -> DataFrame:
@@ -98,11 +98,12 @@ def top_candidates(df: DataFrame, order: list[Column], n: int = MAX_PER_KEYWORD,
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def image_record(df: DataFrame, provider: str, fetched_at: Column | None = None) -> DataFrame:
+def image_record(df: DataFrame, provider: str, fetched_at: Column | None = None, shape: Column | None = None) -> DataFrame:
     """The twelve-field record of an accepted image.
 
     Expects keyword, api_id, position, image_url, tensor, resized, label, tags,
     views, downloads and user. Without an api id the position names the image.
+    ``shape`` stands in for that of ``tensor``, which is not read then.
     """
     stamp = fetched_at if fetched_at is not None else F.current_timestamp()
     zero, empty = F.lit(0).cast("bigint"), F.lit("")
@@ -114,7 +115,7 @@ def image_record(df: DataFrame, provider: str, fetched_at: Column | None = None)
         F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("download_timestamp"),
         labels.effective_label(F.col("label"), F.col("image_url"), F.col("keyword")).alias("label"),
         F.col("keyword"),
-        tensors.shape(F.col("tensor")).alias("original_shape"),
+        (tensors.shape(F.col("tensor")) if shape is None else shape).alias("original_shape"),
         F.coalesce("tags", empty).alias("tags"),
         F.coalesce("views", zero).alias("views"),
         F.coalesce("downloads", zero).alias("downloads"),
