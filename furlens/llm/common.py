@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import time
@@ -66,6 +67,14 @@ def per_process(key: tuple, make):
     return made[key]
 
 
+def give_back() -> None:
+    """Return memory that is not in use: workers are kept for later tasks, beside which it would stay."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 SLICE_BYTES = 4_000_000
 
 
@@ -79,9 +88,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYT
             if b > a:
                 # a copy: some Arrow string functions misread slices that begin inside an array
                 yield batch.take(pa.array(np.arange(a, b)))
-        # workers are kept for later tasks, beside which this memory would stay
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def text_or_empty(name: str = "text") -> Column:

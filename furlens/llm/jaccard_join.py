@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from furlens.llm.common import by_place, discard, free_shuffles, sliced, small, stored, table, text_or_empty, with_row_keys, without_rows
+from furlens.llm.common import by_place, discard, free_shuffles, give_back, sliced, small, stored, table, text_or_empty, with_row_keys, without_rows
 from furlens.llm.components import components
 
 CLASS_RATIO = 1.5
@@ -312,7 +312,7 @@ def _joined(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa.Re
             yield _links_within(batch.slice(start, last - start), bounds)
         held = [batch.take(pa.array(np.arange(last, batch.num_rows)))]
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
     if held:
         yield _links_within(kept(), bounds)
 

@@ -23,7 +23,7 @@ from furlens.llm.common import per_process, sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
-MOST_WORDS = 1_000_000  # remembered by a worker, about 160 MB
+MOST_WORDS = 300_000  # remembered by a worker, about 60 MB
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -56,6 +56,16 @@ class WordEncoder:
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int32)
+
+    def _forget_rare(self) -> None:
+        """Keep the words used most often, half of what may be remembered, and none that was used once."""
+        names, ids, starts, counts, uses = list(self.place), self.ids, self.starts, self.counts, self.uses
+        self._forget()
+        kept = np.argsort(-uses, kind="stable")[: MOST_WORDS // 2]
+        kept = np.sort(kept[uses[kept] > 1])
+        self._remember([names[i] for i in kept.tolist()], _gathered(ids, starts, counts, kept), counts[kept])
+        self.uses = uses[kept] // 2
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the number of ids of each word."""
@@ -82,6 +92,7 @@ class WordEncoder:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.ids = np.concatenate([self.ids, ids])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int32)])
 
     def _learn(self, words: pa.Array) -> None:
         """Remember the ids of new words: those of a core and of the marks that end it, each encoded once."""
@@ -109,12 +120,13 @@ class WordEncoder:
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         if len(self.place) > MOST_WORDS:
-            self._forget()
+            self._forget_rare()
         distinct = coded.dictionary.to_pylist()
         unknown = [i for i, w in enumerate(distinct) if w not in self.place]
         if unknown:
             self._learn(coded.dictionary.take(pa.array(unknown)))
         places = np.fromiter(map(self.place.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        self.uses[places] += 1
         # the end of a text is one more word, after the last one
         starts, counts = np.append(self.starts[places], len(self.ids)), np.append(self.counts[places], 1)
         words = np.insert(codes.astype(np.int64), word_bounds[1:], len(distinct))
