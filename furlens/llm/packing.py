@@ -23,7 +23,8 @@ from furlens.llm.common import per_process, sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
-MOST_WORDS = 300_000  # remembered by a worker, about 60 MB
+MOST_WORDS = 150_000  # remembered by a worker, about 30 MB
+SLICE_BYTES = 1_000_000  # of text at a time
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -158,7 +159,7 @@ def _pieces(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder = per_process(("WordEncoder", path), partial(WordEncoder, path))
-    for batch in sliced(batches, 1):
+    for batch in sliced(batches, 1, SLICE_BYTES):
         ids, bounds = encoder.documents(batch.column(1), end_id)
         tokens = np.diff(bounds)
         document, lengths = _pieces(tokens, longest)
