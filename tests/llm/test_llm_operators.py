@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -245,6 +246,46 @@ def test_top_k_against_brute_force(spark):
     assert sorted(got) == sorted(expected)
 
 
+def test_top_k_of_large_vectors_is_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.integers(-9, 9, 4) * 2 ** int(rng.choice([3, 22, 27, 30, 40])) + rng.integers(0, 9, 4)]) for i in range(300)]
+    rows += [(150, [2.0**22, 3.0 / 256, 2.0**22 + 1 / 256, 1.0]), (600, [1e10, 1e10, -1e10, 1.0]), (601, [1e10, 1e10, -1e10, 2.0])]
+    rows += [(602, [-1e10, -1e10, 1e10, 1.0]), (650, [1e300, -1e300, 0.0, 0.0]), (603, [1e300, -1e300, 1.0, 0.0]), (604, [-1e300, 1e300, 1.0, 0.0])]
+    most = 2**63 - 1024
+    valid = [(i, [min(max(math.floor(256 * x) if abs(x) < 1e30 else int(math.copysign(2**64, x)), -most), most) for x in v]) for i, v in rows]
+    expected = []
+    for a, (i, q) in enumerate(valid):
+        if i % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(q, v)), j) for b, (j, v) in enumerate(valid) if b != a)
+            expected += [(i, rank, j, min(max(-s, -(2**63)), 2**63 - 1)) for rank, (s, j) in enumerate(scores[:5], 1)]
+    assert max(e[3] for e in expected) == 2**63 - 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_rows in (32, 10_000):
+        assert sorted(tuple(r) for r in topk.top_k(frame, shard_rows=shard_rows).collect()) == sorted(expected)
+
+
+def test_top_k_visits_few_shards_where_boxes_tell(spark):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(0, 4, (32, 6))
+    points = centers[rng.integers(0, 32, 4000)] + rng.normal(0, 0.1, (4000, 6))
+    points[1000:2500] = points[0]  # copies of one vector go to several shards
+    whole = np.floor(256 * points)
+    planes = topk.split_planes(whole[::4].astype(np.int64), 32)
+    node = np.ones(4000, int)
+    for _ in range(5):
+        node = 2 * node + (whole[np.arange(4000), planes[0][node]] >= planes[1][node])
+    low, high = (np.array([getattr(whole[node == i], f)(0) for i in np.unique(node)]) for f in ("min", "max"))
+    queries = whole[::50]
+    kth = np.sort(queries @ whole.T, axis=1)[:, -6]
+    assert (topk.upper_bounds(queries, low, high) >= kth[:, None]).mean() < 0.4
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(frame, shard_rows=128).collect()}
+    for i in range(0, 4000, 50):
+        scores = (whole @ whole[i]).astype(int)
+        best = sorted((-s, j) for j, s in enumerate(scores.tolist()) if j != i)[:5]
+        assert [got[i, r] for r in range(1, 6)] == [(j, -s) for s, j in best]
+
+
 def test_tree_boxes_are_tight():
     points = np.random.default_rng(0).integers(-99, 99, (1000, 5)).astype(float)
     tree = topk.build_tree(points, 50)
