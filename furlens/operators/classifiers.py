@@ -147,7 +147,7 @@ def naive_bayes(train: DataFrame, test: DataFrame) -> DataFrame:
     return _plain(bayes.predict(test, bayes.fit(train)))
 
 
-def nearest(train: DataFrame, test: DataFrame, k: int = 5, max_train_rows: int = neighbors.MAX_TRAIN_ROWS) -> DataFrame:
+def nearest(train: DataFrame, test: DataFrame, k: int = 5, max_train_rows: int | None = neighbors.MAX_TRAIN_ROWS) -> DataFrame:
     return _plain(neighbors.predict(train, test, k, max_train_rows=max_train_rows))
 
 

@@ -1,9 +1,10 @@
-"""Exact k-nearest-neighbour classification over a bounded train set.
+"""Exact k-nearest-neighbour classification over a bounded train set, or all of it.
 
 The train rows are at most ``max_train_rows``, those with the smallest hashes of
 their id; as a matrix they are a few tens of megabytes, which is checked before
 it is broadcast. Test rows stream through Arrow batches: no test row is
-shuffled, no train row is copied, and memory per task is bounded.
+shuffled, no train row is copied, and memory per task is bounded. Without a
+bound (``max_train_rows=None``) the work goes to ``neighbor_join``.
 
 Distances are compared after rounding to nine decimals, ties by image id.
 """
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from furlens.operators import neighbor_join
 from furlens.operators.split import bounded_rows
 
 K = 5
@@ -57,8 +59,13 @@ def nearest_rows(x: np.ndarray, train: np.ndarray, k: int) -> tuple[np.ndarray,
     return np.concatenate(places), np.concatenate(distances)
 
 
-def predict(train: DataFrame, test: DataFrame, k: int = K, out: str = "prediction", max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """Add the majority label of the k nearest train rows; the smaller label wins a tie."""
+def predict(train: DataFrame, test: DataFrame, k: int = K, out: str = "prediction", max_train_rows: int | None = MAX_TRAIN_ROWS) -> DataFrame:
+    """Add the majority label of the k nearest train rows; the smaller label wins a tie.
+
+    ``max_train_rows`` None: all train rows, however many, by an exact join in two rounds.
+    """
+    if max_train_rows is None:
+        return neighbor_join.predict(train, test, k, out)
     _, labels, vectors = train_matrix(train, max_train_rows)
     if not len(labels):
         return test.limit(0).withColumn(out, F.lit(None).cast("int"))

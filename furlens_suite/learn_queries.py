@@ -71,6 +71,13 @@ def ml_knn(spark, sf_dir):
     return M.nearest(scale(train, fitted), scale(test, fitted))
 
 
+def ml_knn_all(spark, sf_dir):
+    """Without a bound of the train rows."""
+    train, test = D.train_test(spark, sf_dir)
+    fitted = scaler(train)
+    return M.nearest(scale(train, fitted), scale(test, fitted), max_train_rows=None)
+
+
 ML_KNN = D.ctes(D.SPLIT + _LONG + """,
 pairs as (
   select t.image_id, t.label, s.image_id as other, s.label as vote, round(sum((t.z - s.z) * (t.z - s.z)), 9) as d2
@@ -244,6 +251,7 @@ QUERIES = {
     "ml_standard_scale": (ml_standard_scale, ML_SCALE),
     "ml_gaussian_nb": (ml_gaussian_nb, ML_NB),
     "ml_knn": (ml_knn, ML_KNN),
+    "ml_knn_all": (ml_knn_all, ML_KNN),
     "ml_random_forest": (_fitted("Random Forest"), None),
     "ml_logistic": (_fitted("Logistic Regression"), None),
     "ml_decision_tree": (_fitted("Decision Tree"), None),
