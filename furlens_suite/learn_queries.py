@@ -161,13 +161,48 @@ def ml_sweep_parallel(spark, sf_dir):
     return _outcome(spark, [_sweep(spark, sf_dir, 4)])
 
 
+# Models with a closed form, whose figures SQL can give too.
+_EXACT = ("Naive Bayes", "K-Neighbors")
+
+
 def _outcome(spark, sweeps: list[dict]) -> DataFrame:
-    """What does not depend on the clock."""
-    return sweep.run_tables(spark, sweeps)[0].select("config", "model_name", "success")
+    """What does not depend on the clock: the figures of models with a closed form, and for all whether they are figures of the test rows."""
+    runs = sweep.run_tables(spark, sweeps)[0]
+    exact = F.col("model_name").isin(*_EXACT)
+    within = F.col("accuracy").between(0, 1) & F.col("f1_score").between(0, 1)
+    return runs.select(
+        "config",
+        "model_name",
+        "success",
+        *[F.when(exact, F.round(c, 6)).alias(c) for c in ("accuracy", "f1_score")],
+        within.alias("within_range"),
+    )
+
+
+def ml_sweep_scores(spark, sf_dir):
+    """Accuracy and F1 of every model of the sequential sweep, learned ones included."""
+    runs = sweep.run_tables(spark, [_sweep(spark, sf_dir, 1)])[0]
+    return runs.select("config", "model_name", F.round("accuracy", 6).alias("accuracy"), F.round("f1_score", 6).alias("f1_score"), "success", "error")
 
 
 _NAMES = ", ".join(f"'{m.name}'" for m in M.default_models())
-ML_SWEEP = "select '{level}_cores' as config, unnest([" + _NAMES + "]) as model_name, count(*) > 1 as success from embeddings"
+
+
+def _scored(name: str, predictions: str) -> str:
+    """A row with accuracy and weighted F1 of the rows (label, prediction) of ``predictions``."""
+    return f"""(with predicted as ({predictions}),
+classes as (select label as c from predicted union select prediction from predicted),
+per_class as (
+  select c, count_if(label = c and prediction = c) as tp, count_if(label = c) as support, count_if(prediction = c) as n
+  from classes, predicted group by c)
+select '{name}' as model_name, (select round(avg(case when label = prediction then 1.0 else 0.0 end), 6) from predicted) as accuracy,
+  (select round(sum(2.0 * tp / (support + n) * support) / sum(support), 6) from per_class) as f1_score)"""
+
+
+ML_SWEEP = f"""with exact as ({_scored("Naive Bayes", ML_NB)} union all {_scored("K-Neighbors", ML_KNN)}),
+names as (select unnest([{_NAMES}]) as model_name)
+select '{{level}}_cores' as config, model_name, true as success, accuracy, f1_score, true as within_range
+from names left join exact using (model_name)"""
 ML_SWEEP_LEVELS = "select concat(unnest([1, 2, 4]), '_cores') as config, " + str(len(M.default_models())) + " + 0 * count(*) as successful_models from embeddings"
 
 
@@ -261,8 +296,9 @@ QUERIES = {
     "ml_run": (ml_run, ML_RUN),
     "ml_accuracy": (ml_accuracy, ML_ACCURACY),
     "ml_weighted_f1": (ml_weighted_f1, ML_F1),
-    "ml_sweep_sequential": (ml_sweep_sequential, ML_SWEEP.format(level=1)),
-    "ml_sweep_parallel": (ml_sweep_parallel, ML_SWEEP.format(level=4)),
+    "ml_sweep_sequential": (ml_sweep_sequential, ML_SWEEP.replace("{level}", "1")),
+    "ml_sweep_parallel": (ml_sweep_parallel, ML_SWEEP.replace("{level}", "4")),
+    "ml_sweep_scores": (ml_sweep_scores, None),
     "ml_sweep_levels": (ml_sweep_levels, ML_SWEEP_LEVELS),
     "filt_cores": (filt_cores, D.ctes(D.RUNS) + "\nselect * from config_runs where cores <= 4"),
     "filt_success": (

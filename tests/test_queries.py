@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from furlens_suite import registry
+from furlens_suite import learn_queries, registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -21,6 +21,7 @@ SLOW = {
     "ml_sweep_sequential",
     "ml_sweep_parallel",
     "ml_sweep_levels",
+    "ml_sweep_scores",
 }
 # what the optional subpackage registers is tested in its own folder
 QUERIES = {n: q for n, q in entry_module.queries().items() if n in registry.REGISTERED}
@@ -69,3 +70,14 @@ def test_entry(spark):
 
 def test_sql_only_for_registered_queries():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_sweep_figures_of_closed_forms(spark, duck, sf_dir):
+    """The sweep queries' figures that SQL knows, from a sweep of these two models alone."""
+    train, test = learn_queries.D.train_test(spark, sf_dir)
+    models = [m for m in learn_queries.M.default_models() if m.name in learn_queries._EXACT]
+    got = learn_queries._outcome(spark, [learn_queries.sweep.run_sweep(models, train, test, 1)])
+    want = duck.sql(SQL["ml_sweep_sequential"])
+    assert got.columns == want.columns
+    exact = [r for r in want.fetchall() if r[1] in learn_queries._EXACT]
+    assert sorted(map(tuple, got.collect())) == sorted(exact) and len(exact) == 2
