@@ -23,7 +23,7 @@ from furlens.llm.common import sliced, small, stored, table, text_or_empty
 from furlens.llm.html_text import main_text
 
 MAX_TRAINING = 20_000  # expected bound of the sample of labelled documents
-MAX_LANGUAGES = 200
+MAX_LANGUAGES = 200  # bound of the languages that are told apart, a part of the model's size
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 EVIDENCE = 200  # trigrams of one text do not count as more than this many
@@ -63,20 +63,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _likelihoods(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Log likelihood of each page's text under each language, at most EVIDENCE trigrams strong."""
+def _likelihoods(batches: Iterator[pa.RecordBatch], model, evidence: int) -> Iterator[pa.RecordBatch]:
+    """Log likelihood of each page's text under each language, at most ``evidence`` trigrams strong; ``model`` is a broadcast variable."""
+    model = model.value
     for batch in (part for whole in batches for part in sliced([whole], whole.num_columns - 1)):
         texts = pa.array([main_text(page) for page in batch.column(batch.num_columns - 1).to_pylist()], pa.string())
         bucket, bounds = trigram_buckets(texts)
         scores = np.zeros((len(texts), len(model)))
         for i, (a, b) in enumerate(bounds.tolist()):
             if b > a:
-                scores[i] = model[:, bucket[a:b]].sum(1) * (min(b - a, EVIDENCE) / (b - a))
+                scores[i] = model[:, bucket[a:b]].sum(1) * (min(b - a, evidence) / (b - a))
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(scores.tolist(), pa.list_(pa.float64()))], names=[*batch.schema.names[:-1], "likelihood"])
 
 
-def train(docs: DataFrame, max_training: int = MAX_TRAINING) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, max_training: int = MAX_TRAINING, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """Languages and their log probabilities of trigram buckets, from a bounded sample of labelled documents."""
     labelled = docs.select("doc_id", text_or_empty().alias("text"), F.col("lang").alias("lang")).filter("lang is not null")
     n = labelled.count()
@@ -84,7 +85,7 @@ def train(docs: DataFrame, max_training: int = MAX_TRAINING) -> tuple[list[str],
         labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_training / n))
     sums = stored(labelled.select("text", "lang").mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
     # the most frequent languages of the sample, a bounded number
-    languages = sorted(r[0] for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
+    languages = sorted(r[0] for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect())
     counts = np.full((len(languages), BUCKETS), SMOOTHING)
     rows = sums.filter(F.col("lang").isin(languages)).toPandas() if languages else None  # at most BUCKETS values each
     if rows is not None:
@@ -101,7 +102,7 @@ def _softmax(logs: Column) -> Column:
     return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
 
 
-def identified(pages: DataFrame, docs: DataFrame, max_training: int = MAX_TRAINING) -> DataFrame:
+def identified(pages: DataFrame, docs: DataFrame, max_training: int = MAX_TRAINING, max_languages: int = MAX_LANGUAGES, evidence: int = EVIDENCE) -> DataFrame:
     """page_id, url, host, declared, suffix, lang and confidence of each row of ``pages``.
 
     A page without text, declaration or host rests on what is left; with nothing
@@ -109,9 +110,12 @@ def identified(pages: DataFrame, docs: DataFrame, max_training: int = MAX_TRAINI
     not count towards its priors. Null addresses have the empty host. Ties go to
     the first language in the alphabet. Repeated rows count each. Without any
     labelled document, lang and confidence are null; without pages there are no
-    rows. Only page_id, url and html, and doc_id, text and lang, are read.
+    rows. ``max_languages``, the most frequent ones of the sample, are told apart.
+    The whole text is read, and its mean log likelihood counts for ``evidence``
+    trigrams at most, because neighbouring trigrams are no independent evidence.
+    Only page_id, url and html, and doc_id, text and lang, are read.
     """
-    languages, model = train(docs, max_training)
+    languages, model = train(docs, max_training, max_languages)
     k = len(languages)
     page = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), page.alias("html")).select(
@@ -119,7 +123,7 @@ def identified(pages: DataFrame, docs: DataFrame, max_training: int = MAX_TRAINI
     )
     if not k:
         return rows.select("page_id", "url", "host", "declared", F.substring_index("host", ".", -1).alias("suffix"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"))
-    rows = rows.mapInArrow(partial(_likelihoods, model=model), "page_id long, url string, host string, declared string, likelihood array<double>")
+    rows = rows.mapInArrow(partial(_likelihoods, model=pages.sparkSession.sparkContext.broadcast(model), evidence=evidence), "page_id long, url string, host string, declared string, likelihood array<double>")
     rows = rows.withColumns({"suffix": F.substring_index("host", ".", -1), "domain": F.substring_index("host", ".", -2), "p": _softmax(F.col("likelihood"))})
     rows = stored(rows, "likelihoods")
 
