@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from furlens.operators.scaling import moments, numbers, population_variance
 
@@ -58,14 +58,23 @@ def fit(train: DataFrame, features: str = "features", label: str = "label") -> l
     return models
 
 
+def _score(m: ClassModel, features: str) -> Column:
+    """Log-likelihood of a class and its share, up to a constant that all classes have."""
+    squares = F.zip_with(F.col(features), numbers(m.mean), lambda x, c: (x - c) * (x - c))
+    terms = F.zip_with(squares, numbers(m.var), lambda s, v: s / v)
+    distance = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    return F.lit(m.base) - F.lit(0.5) * distance
+
+
 def predict(df: DataFrame, models: list[ClassModel], features: str = "features", out: str = "prediction") -> DataFrame:
     """Add the most likely label; the smaller label wins a tie."""
+    scores = [F.struct(_score(m, features).alias("score"), F.lit(-m.label).alias("neg")) for m in models]
+    return df.withColumn(out, -F.array_max(F.array(*scores))["neg"])
 
-    def score(m: ClassModel):
-        squares = F.zip_with(F.col(features), numbers(m.mean), lambda x, c: (x - c) * (x - c))
-        terms = F.zip_with(squares, numbers(m.var), lambda s, v: s / v)
-        distance = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-        return F.struct((F.lit(m.base) - F.lit(0.5) * distance).alias("score"), F.lit(-m.label).alias("neg"))
 
-    best = F.array_max(F.array(*[score(m) for m in models]))
-    return df.withColumn(out, -best["neg"])
+def log_odds(df: DataFrame, models: list[ClassModel], features: str = "features", out: str = "decision") -> DataFrame:
+    """Add the log-odds of label 1 against label 0; both must have been fitted."""
+    by_label = {m.label: m for m in models}
+    if not {0, 1} <= set(by_label):
+        raise ValueError("log-odds need the labels 0 and 1")
+    return df.withColumn(out, _score(by_label[1], features) - _score(by_label[0], features))

@@ -23,12 +23,12 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from furlens.functions.kernel import N_FEATURES
-from furlens.operators import bayes, neighbors
+from furlens.operators import bayes, calibration, neighbors
 from furlens.operators.scaling import scale, scaler
 from furlens.operators.split import bounded_rows
 
@@ -129,18 +129,51 @@ def fourier_features(dim: int = N_FEATURES, out_dim: int = 512, gamma: float | N
     return lift.asNondeterministic()
 
 
+def _svm_decisions(train: DataFrame, rows: DataFrame, max_iter: int, dim: int, out_dim: int) -> DataFrame:
+    """``rows`` with the distance from the separating plane, positive on the side of label 1."""
+    lift = fourier_features(dim, out_dim)
+
+    def lifted(df: DataFrame) -> DataFrame:
+        return df.withColumn("features", lift(F.col("features")))
+
+    est = LinearSVC(maxIter=max_iter, tol=1e-3, regParam=1.0 / max(1, train.count()), standardization=False)
+    model = _without_summary(est.fit(_vectors(lifted(train))))
+    raw = vector_to_array("rawPrediction")
+    return model.transform(_vectors(lifted(rows))).select(
+        "image_id", F.col("label").cast("int").alias("label"), F.get(raw, F.lit(1)).alias("decision"), F.col("prediction").cast("int").alias("prediction")
+    )
+
+
 def kernel_svm(
     train: DataFrame, test: DataFrame, max_iter: int = 1000, dim: int = N_FEATURES, out_dim: int = 512, max_train_rows: int | None = MAX_SVM_ROWS
 ) -> DataFrame:
     """Gaussian-kernel SVM with C = 1, approximated by a linear one on random Fourier features."""
-    lift = fourier_features(dim, out_dim)
     train = bounded_rows(train, "image_id", max_train_rows)
+    return _svm_decisions(train, test, max_iter, dim, out_dim).drop("decision")
 
-    def lifted(df: DataFrame) -> DataFrame:
-        return df.withColumn("features", lift(F.col("features")))
 
-    est = LinearSVC(maxIter=max_iter, tol=1e-3, regParam=1.0 / max(1, train.count()), standardization=False)
-    return _mllib(est, lifted(train), lifted(test))
+def kernel_svm_probability(
+    train: DataFrame,
+    test: DataFrame,
+    max_iter: int = 1000,
+    dim: int = N_FEATURES,
+    out_dim: int = 512,
+    max_train_rows: int | None = MAX_SVM_ROWS,
+    folds: int = calibration.FOLDS,
+) -> DataFrame:
+    """As ``kernel_svm``, with ``decision`` and the ``probability`` of label 1.
+
+    The sigmoid is fitted on the decisions of ``folds`` models that did not see
+    their rows; the prediction stays the side of the plane, so near it the two
+    may disagree.
+    """
+    train = bounded_rows(train, "image_id", max_train_rows)
+
+    def decide(fitted_on: DataFrame, rows: DataFrame) -> DataFrame:
+        return _svm_decisions(fitted_on, rows, max_iter, dim, out_dim)
+
+    sigmoid = calibration.fit_sigmoid(calibration.cross_decisions(train, decide, folds))
+    return decide(train, test).withColumn("probability", sigmoid.of(F.col("decision")))
 
 
 def naive_bayes(train: DataFrame, test: DataFrame) -> DataFrame:

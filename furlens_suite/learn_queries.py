@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from furlens.functions.kernel import FEATURE_NAMES
-from furlens.operators import classifiers as M, metrics, performance, split, sweep
+from furlens.operators import bayes, calibration, classifiers as M, metrics, performance, split, sweep
 from furlens.operators.features import data_info
 from furlens.operators.scaling import scale, scaler
 from furlens_suite import derived as D
@@ -52,17 +52,45 @@ def ml_gaussian_nb(spark, sf_dir):
     return M.naive_bayes(train, test)
 
 
-ML_NB = D.ctes(D.SPLIT + _LONG + """,
+_NB = D.SPLIT + _LONG + """,
 floor_ as (select max(v) * 1e-9::double as f from (select var_pop(value) as v from long where not is_test group by name)),
 moments as (
   select label as class, name, avg(value) as m, var_pop(value) + any_value(f) as v, count(*) as n
   from long, floor_ where not is_test group by label, name),
 scores as (
-  select image_id, t.label, class,
+  select image_id, t.label, t.is_test, class,
     ln(any_value(n) / (select count(distinct image_id) from long where not is_test))
       - 0.5 * sum(ln(2 * pi() * v) + (value - m) * (value - m) / v) as score
-  from long t join moments using (name) where is_test group by image_id, t.label, class)""") + """
-select image_id, label, arg_max(class, score) as prediction from scores group by image_id, label"""
+  from long t join moments using (name) group by image_id, t.label, t.is_test, class)"""
+ML_NB = D.ctes(_NB) + """
+select image_id, label, arg_max(class, score) as prediction from scores where is_test group by image_id, label"""
+
+
+def ml_sigmoid(spark, sf_dir):
+    """Calibrated probabilities of naive Bayes: the sigmoid is fitted on the log-odds of the train rows."""
+    train, test = D.train_test(spark, sf_dir)
+    models = bayes.fit(train)
+    sigmoid = calibration.fit_sigmoid(bayes.log_odds(train, models))
+    decided = bayes.log_odds(test, models)
+    return decided.select("image_id", "label", F.round(sigmoid.of(F.col("decision")), 6).alias("probability"))
+
+
+def sigmoid_sql(decisions: str) -> str:
+    """CTEs that fit the sigmoid by 25 undamped Newton steps on a CTE with columns decision and label."""
+    return f"""sizes_ as (select count_if(label = 1) as n1, count_if(label = 0) as n0 from {decisions}),
+targets as (
+  select decision as f, case when label = 1 then (n1 + 1.0) / (n1 + 2.0) else 1.0 / (n0 + 2.0) end::double as t
+  from {decisions}, sizes_),
+newton(step, a, b) as (
+  select 0, 0.0::double, ln((n0 + 1.0) / (n1 + 1.0))::double from sizes_
+  union all
+  select step + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b - (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  from (
+    select step, a, b, sum(f * (t - p)) as ga, sum(t - p) as gb,
+      sum(f * f * p * (1 - p)) + 1e-12 as haa, sum(f * p * (1 - p)) as hab, sum(p * (1 - p)) + 1e-12 as hbb
+    from (select step, a, b, f, t, 1 / (1 + exp(a * f + b)) as p from newton, targets where step < 25)
+    group by step, a, b)),
+sigmoid as (select a, b from newton where step = 25)"""
 
 
 def ml_knn(spark, sf_dir):
@@ -87,6 +115,22 @@ select image_id, label, cast(case when sum(vote) * 2 > count(*) then 1 else 0 en
 from near group by image_id, label"""
 
 
+_ODDS = """,
+odds as (
+  select image_id, label, is_test, sum(case when class = 1 then score else -score end) as decision
+  from scores group by image_id, label, is_test),
+known as (select decision, label from odds where not is_test),
+"""
+ML_SIGMOID = D.ctes(_NB + _ODDS + sigmoid_sql("known")).replace("with ", "with recursive ", 1) + """
+select image_id, label, round(1 / (1 + exp(a * decision + b)), 6) as probability from odds, sigmoid where is_test"""
+
+
+def ml_svm_probability(spark, sf_dir):
+    train, test = D.train_test(spark, sf_dir)
+    fitted = scaler(train)
+    return M.kernel_svm_probability(scale(train, fitted), scale(test, fitted))
+
+
 def _fitted(spec_name: str):
     def query(spark, sf_dir) -> DataFrame:
         train, test = D.train_test(spark, sf_dir)
@@ -285,12 +329,14 @@ QUERIES = {
     "ml_stratified_split": (ml_stratified_split, ML_SPLIT),
     "ml_standard_scale": (ml_standard_scale, ML_SCALE),
     "ml_gaussian_nb": (ml_gaussian_nb, ML_NB),
+    "ml_sigmoid": (ml_sigmoid, ML_SIGMOID),
     "ml_knn": (ml_knn, ML_KNN),
     "ml_knn_all": (ml_knn_all, ML_KNN),
     "ml_random_forest": (_fitted("Random Forest"), None),
     "ml_logistic": (_fitted("Logistic Regression"), None),
     "ml_decision_tree": (_fitted("Decision Tree"), None),
     "ml_svm": (_fitted("SVM"), None),
+    "ml_svm_probability": (ml_svm_probability, None),
     "ml_mlp": (_fitted("Neural Network"), None),
     "ml_boosted_trees": (_fitted("XGBoost"), None),
     "ml_run": (ml_run, ML_RUN),

@@ -18,6 +18,7 @@ SLOW = {
     "ml_mlp",
     "ml_random_forest",
     "ml_svm",
+    "ml_svm_probability",
     "ml_sweep_sequential",
     "ml_sweep_parallel",
     "ml_sweep_levels",
