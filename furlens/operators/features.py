@@ -49,16 +49,29 @@ def extract_outcome(df: DataFrame, features: str = "image_features") -> DataFram
     )
 
 
+# Why a feature line is rejected, in the order of the checks.
+REASONS = ("malformed", "no features", "few features", "label")
+
+
+def reject_reason() -> Column:
+    """The first reason against a parsed feature line; NULL for a valid one."""
+    n = F.coalesce(F.size("image_features"), F.lit(0))
+    checks = (
+        ~F.coalesce(F.col("parsed"), F.lit(False)),
+        n <= 0,
+        n <= MIN_FEATURES,
+        ~F.coalesce(F.col("label").isin(0, 1), F.lit(False)),
+    )
+    return F.coalesce(*[F.when(check, F.lit(reason)) for reason, check in zip(REASONS, checks)])
+
+
 def quality_report(parsed: DataFrame) -> DataFrame:
     """Valid and invalid lines with the valid share in percent.
 
     ``few`` warns below ten valid lines. No valid line at all raises when the
     report is read.
     """
-    good = F.coalesce(
-        F.col("parsed") & (F.size("image_features") > MIN_FEATURES) & F.col("label").isin(0, 1),
-        F.lit(False),
-    )
+    good = reject_reason().isNull()
     totals = parsed.agg(F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid"))
     valid = F.when(
         F.col("valid") == 0, F.raise_error(F.lit("no valid feature rows")).cast("bigint")

@@ -38,11 +38,12 @@ def read_features(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     return spark.read.schema(S.FEATURES).format(fmt).load(path)
 
 
-def parse_feature_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_feature_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse each feature line on its own; ``parsed`` is false for a malformed one.
 
     The label is read as a double, so that 1 and 1.0 are the same label; an
-    absent label is -1 and absent features are an empty array.
+    absent label is -1 and absent features are an empty array. Columns named in
+    ``keep`` stay in front.
     """
     corrupt = "_corrupt_record"
     schema = (
@@ -52,7 +53,8 @@ def parse_feature_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     record = F.from_json(
         F.trim(F.col(value)), schema, {"columnNameOfCorruptRecord": corrupt, "mode": "PERMISSIVE"}
     )
-    return lines.select(record.alias("_r")).select(
+    return lines.select(*keep, record.alias("_r")).select(
+        *keep,
         "_r.image_id",
         F.coalesce("_r.label", F.lit(-1.0)).alias("label"),
         "_r.keyword",

@@ -8,7 +8,7 @@ from furlens.functions.kernel import FEATURE_NAMES
 from furlens.functions import tensors
 from furlens.operators import acquisition as A, counts, performance
 from furlens.operators import features as X
-from furlens.plans import clean
+from furlens.plans import clean, load
 from furlens.session import shared_dir
 from furlens.sources import images as I, readers as R, schemas as S, writers as W
 from furlens_suite import bitmaps, derived as D
@@ -277,6 +277,45 @@ def src_feature_lines(spark, sf_dir):
 SRC_FEATURE_LINES = D.ctes(D.FEATURE_LINES) + "select image_id, parsed, label, n from parsed_lines"
 
 
+def _loaded(spark, sf_dir) -> tuple[dict, str]:
+    path = shared_dir(spark, "loaded")
+    return load.load(D.feature_lines(spark, sf_dir), path), path
+
+
+def src_feature_rejects(spark, sf_dir):
+    """Every rejected line with its reason."""
+    return load.rejected_lines(spark, _loaded(spark, sf_dir)[1])
+
+
+def src_feature_valid(spark, sf_dir):
+    """Every valid row with all its values, as text of whole numbers."""
+    rows = load.valid_rows(spark, _loaded(spark, sf_dir)[1])
+    return rows.select("image_id", "label", F.to_json(F.col("image_features").cast("array<bigint>")).alias("image_features"))
+
+
+def agg_load_outcomes(spark, sf_dir):
+    """Lines per outcome, as observed during the write."""
+    counts_ = _loaded(spark, sf_dir)[0]
+    return spark.createDataFrame(list(counts_.items()), "outcome string, lines bigint")
+
+
+_REASONS = D.FEATURE_LINES.replace("select json_extract_string(j, '$.image_id')", "select value, j, json_extract_string(j, '$.image_id')").replace(
+    "(select try_cast(trim(value) as json) as j from feature_lines)", "(select value, try_cast(trim(value) as json) as j from feature_lines)"
+) + """,
+told as (
+  select *, case when not parsed then 'malformed' when n = 0 then 'no features' when n <= 10 then 'few features'
+    when label not in (0, 1) then 'label' end as reason
+  from parsed_lines)"""
+SRC_FEATURE_REJECTS = D.ctes(_REASONS) + "select value as line, reason from told where reason is not null"
+SRC_FEATURE_VALID = D.ctes(_REASONS) + """
+select image_id, cast(label as int) as label, replace(cast(json_extract(j, '$.image_features') as varchar), ' ', '') as image_features
+from told where reason is null"""
+AGG_LOAD_OUTCOMES = D.ctes(_REASONS) + """
+select outcome, count(told.value) as lines
+from (select unnest(['valid', 'malformed', 'no features', 'few features', 'label']) as outcome)
+left join told on outcome = coalesce(reason, 'valid') group by outcome"""
+
+
 def sink_runs_csv(spark, sf_dir):
     path = shared_dir(spark, "runs")
     W.write_runs_csv(D.model_runs(spark, sf_dir), path)
@@ -325,6 +364,9 @@ QUERIES = {
     "chk_readback_count": (chk_readback_count, CHK_READBACK_COUNT),
     "chk_input_files": (chk_input_files, "select least(5, count(*)) as files from embeddings"),
     "src_feature_lines": (src_feature_lines, SRC_FEATURE_LINES),
+    "src_feature_rejects": (src_feature_rejects, SRC_FEATURE_REJECTS),
+    "src_feature_valid": (src_feature_valid, SRC_FEATURE_VALID),
+    "agg_load_outcomes": (agg_load_outcomes, AGG_LOAD_OUTCOMES),
     "sink_runs_csv": (sink_runs_csv, SINK_RUNS_CSV),
     "sink_report_json": (sink_report_json, None),
     "sink_report_simple": (sink_report_simple, CONFIG_SUMMARY),
