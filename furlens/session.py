@@ -13,6 +13,7 @@ import furlens
 # Defaults that suit these jobs. On a cluster, spark-submit settings win over
 # them, and the shuffle partition count is a start value that AQE coalesces.
 DEFAULTS = {
+    "spark.scheduler.mode": "FAIR",  # concurrent models share the cores
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

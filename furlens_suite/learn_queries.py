@@ -187,14 +187,9 @@ per_class as (
 select round(sum(2.0 * tp / (support + predicted) * support) / sum(support), 9) as f1_score from per_class"""
 
 
-def _sweep(spark, sf_dir, level: int) -> dict:
-    """One sweep per level and session: the sweep queries show different parts of the same runs."""
-
-    def run() -> dict:
-        train, test = D.train_test(spark, sf_dir)
-        return sweep.run_sweep(M.default_models(), train, test, level)
-
-    return D.once(spark, sf_dir, f"sweep {level}", run)
+def _sweep(spark, sf_dir, level: int, models: list | None = None) -> dict:
+    train, test = D.train_test(spark, sf_dir)
+    return sweep.run_sweep(models or M.default_models(), train, test, level)
 
 
 def ml_sweep_sequential(spark, sf_dir):
