@@ -23,8 +23,8 @@ from furlens.llm.common import per_process, sliced, table, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
-MOST_WORDS = 150_000  # remembered by a worker, about 30 MB
-SLICE_BYTES = 1_000_000  # of text at a time
+MOST_WORDS = 300_000  # remembered by a worker, about 60 MB
+SLICE_BYTES = 4_000_000  # of text at a time
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 # ASCII marks that never begin a piece of their own after a letter, the apostrophe excepted.
 TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -46,11 +46,12 @@ class WordEncoder:
     of their own, and ASCII letters may be lower-cased beforehand.
     """
 
-    def __init__(self, path: str, per_call: int = 200):
+    def __init__(self, path: str, per_call: int = 200, most_words: int = MOST_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.per_call = per_call
+        self.most_words = most_words
         self.delimiter = self.tokenizer.token_to_id(DELIMITER)
         self._forget()
 
@@ -63,7 +64,7 @@ class WordEncoder:
         """Keep the words used most often, half of what may be remembered, and none that was used once."""
         names, ids, starts, counts, uses = list(self.place), self.ids, self.starts, self.counts, self.uses
         self._forget()
-        kept = np.argsort(-uses, kind="stable")[: MOST_WORDS // 2]
+        kept = np.argsort(-uses, kind="stable")[: self.most_words // 2]
         kept = np.sort(kept[uses[kept] > 1])
         self._remember([names[i] for i in kept.tolist()], _gathered(ids, starts, counts, kept), counts[kept])
         self.uses = uses[kept] // 2
@@ -120,7 +121,7 @@ class WordEncoder:
         word_bounds = split.offsets.to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.place) > MOST_WORDS:
+        if len(self.place) > self.most_words:
             self._forget_rare()
         distinct = coded.dictionary.to_pylist()
         unknown = [i for i, w in enumerate(distinct) if w not in self.place]
@@ -157,9 +158,9 @@ def _pieces(tokens: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(tokens)), times.sum(1)), lengths
 
 
-def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = per_process(("WordEncoder", path), partial(WordEncoder, path))
-    for batch in sliced(batches, 1, SLICE_BYTES):
+def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int, most_words: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    encoder = per_process(("WordEncoder", path, most_words), partial(WordEncoder, path, most_words=most_words))
+    for batch in sliced(batches, 1, slice_bytes):
         ids, bounds = encoder.documents(batch.column(1), end_id)
         tokens = np.diff(bounds)
         document, lengths = _pieces(tokens, longest)
@@ -171,7 +172,14 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: in
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
 
-def packed(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def packed(
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    sequence: int = SEQUENCE,
+    end_id: int = END_ID,
+    most_words: int = MOST_WORDS,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """One row per piece of each row of ``docs``, with its sequence.
 
     A null or empty text is the end id alone. ``sequence`` is a power of two;
@@ -182,7 +190,7 @@ def packed(docs: DataFrame, tokenizer: str | None = None, sequence: int = SEQUEN
     """
     if sequence & (sequence - 1):
         raise ValueError("sequence length must be a power of two")
-    work = partial(_pack, path=tokenizer or default_tokenizer(), longest=sequence, end_id=end_id)
+    work = partial(_pack, path=tokenizer or default_tokenizer(), longest=sequence, end_id=end_id, most_words=most_words, slice_bytes=slice_bytes)
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(work, PIECES)
     return pieces.withColumns(
         {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.col("length").cast("int")}
