@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from furlens.functions import image_bytes
-from furlens.functions.batch_images import batch_resize, nested
+from furlens.functions.batch_images import batch_resize, nested, parts
 from furlens.functions.tensors import MIN_COLOURS, MIN_SIDE
 from furlens.operators import acquisition as A
 
@@ -48,11 +49,17 @@ def _inspect(data: bytes | None, side: int, filter: str) -> tuple[str | None, li
 def inspected(files: DataFrame, side: int = A.RESIZED_SIDE, filter: str = "bicubic") -> DataFrame:
     """``candidate`` and what becomes of its ``content``: header, cells, content check, resize and second check in one pass.
 
-    A refused file keeps its reason. One file is decoded at a time.
+    A refused file keeps its reason. One file is decoded at a time, and a
+    bounded part of a batch handed back.
     """
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            for a, n in parts(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy() + side * side * 3):
+                yield batch.slice(a, n)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in some(batches):
             found = [_inspect(blob.as_py(), side, filter) for blob in batch.column(1)]
             reasons, shapes, images = zip(*found) if found else ([], [], [])
             missing = np.array([i is None for i in images], dtype=bool)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from furlens.functions.batch_images import cell_counts, parts
+
 
 def _bitmap(tensor: np.ndarray) -> bytes:
     """A 24-bit bottom-up bitmap file, rows padded to four bytes."""
@@ -59,13 +63,23 @@ def header_only(kind: str, channels: int, width: int, height: int) -> bytes:
 
 
 FILES = "vec_id long, content binary"
+PART = 100_000  # cells or bytes; as Python objects, and as files of 49 times the cells, they are larger
+
+
+def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The same rows with about ``PART`` cells, or bytes, of a column at a time, one row at least."""
+    for batch in batches:
+        values = batch.column(column)
+        sizes = cell_counts(values) if pa.types.is_list(values.type) else pc.fill_null(pc.binary_length(values), 0)
+        for a, n in parts(sizes, PART):
+            yield batch.slice(a, n)
 
 
 def as_files(images: DataFrame) -> DataFrame:
     """(vec_id, content): each row (vec_id, px) as a file; several kinds, cut off and foreign ones by the rules of ``derived``."""
 
     def made(batches):
-        for batch in batches:
+        for batch in _parts(batches, "px"):
             out = []
             for vec_id, px in zip(batch.column("vec_id").to_pylist(), batch.column("px").to_pylist()):
                 image = np.asarray(px, dtype=np.uint8)
@@ -99,7 +113,7 @@ def write_files(files: DataFrame, folder: str) -> int:
 
     def save(batches):
         fs, root = _opened(folder)
-        for batch in batches:
+        for batch in _parts(batches, "content"):
             for vec_id, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_output_stream(f"{root}/img_{vec_id}.bin") as f:
                     f.write(content)
@@ -123,7 +137,7 @@ def write_bitmaps(images: DataFrame, folder: str) -> int:
 
     def save(batches):
         fs, root = _opened(folder)
-        for batch in batches:
+        for batch in _parts(batches, "tensor"):
             names = batch.column("name").to_pylist()
             for name, tensor in zip(names, batch.column("tensor").to_pylist()):
                 with fs.open_output_stream(f"{root}/{name}.bmp") as f:
