@@ -67,6 +67,12 @@ def per_process(key: tuple, make):
     return made[key]
 
 
+def forget() -> None:
+    """Drop what ``per_process`` has kept for the tasks of another operator, beside which this worker's own would stand."""
+    getattr(sys.modules.get("furlens_worker_state"), "made", {}).clear()
+    give_back()
+
+
 def give_back() -> None:
     """Return memory that is not in use: workers are kept for later tasks, beside which it would stay."""
     pa.default_memory_pool().release_unused()

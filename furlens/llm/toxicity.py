@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlens.llm.common import sliced, stored, table, text_or_empty
+from furlens.llm.common import forget, sliced, stored, table, text_or_empty
 
 MAX_POSITIVE = 20_000  # expected bound of the sample of labelled rows
 MAX_UNLABELLED = 20_000
@@ -36,6 +36,7 @@ STEPS = 400
 RATE = 0.1
 L2 = 1e-4
 HELD_OUT = 5
+COUNTED_BYTES = 1_000_000  # of text at a time, whose words and beginnings are held as Python strings
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -54,8 +55,9 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, texts, positive texts), summed over each batch."""
-    for batch in sliced(batches, 0):
+    """(feature, texts, positive texts), summed over each slice."""
+    forget()
+    for batch in sliced(batches, 0, COUNTED_BYTES):
         counts, words, codes = _words(batch.column(0))
         positive = np.asarray(batch.column(1).to_pylist(), dtype=bool)
         ids: dict[str, int] = {}
@@ -113,6 +115,7 @@ def nn_pu_fit(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = ST
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    forget()
     vectors = Vectors(names)
     for batch in sliced(batches, 0):
         for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
@@ -127,6 +130,7 @@ def _train(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
 
 
 def _score(batches: Iterator[pa.RecordBatch], names: list[str], weights: np.ndarray, steady: float) -> Iterator[pa.RecordBatch]:
+    forget()
     vectors = Vectors(names)
     for batch in batches:
         for part in (part.slice(i, 1000) for part in sliced([batch], batch.num_columns - 1) for i in range(0, part.num_rows, 1000)):
