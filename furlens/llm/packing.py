@@ -9,6 +9,7 @@ no shuffle.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -47,6 +48,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, per_call: int = 200, most_words: int = MOST_WORDS):
+        # a task has one core; each thread of the tokenizer would keep memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

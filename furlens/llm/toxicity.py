@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from furlens.llm.common import forget, sliced, stored, table, text_or_empty
 
@@ -82,11 +83,12 @@ class Vectors:
         """Per text: log counts, roots of the rates, log length; dense, a few thousand texts at a time."""
         counts, words, codes = _words(texts)
         pairs = [(i, self.place[f]) for i, w in enumerate(words) if w for f in features_of(w) if f in self.place]
-        rows = np.repeat(np.arange(len(counts)), counts)
         found = np.zeros((len(counts), self.size))
         if pairs:
             word, feature = np.array(pairs).T
             starts = np.searchsorted(word, np.arange(len(words) + 1))
+            held = np.flatnonzero(np.diff(starts)[codes])  # few words hold a feature
+            rows, codes = np.searchsorted(np.cumsum(counts), held, side="right"), codes[held]
             n = np.diff(starts)[codes]
             ends = np.cumsum(n)
             which = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - n), n)
@@ -98,7 +100,11 @@ class Vectors:
 
 def nn_pu_fit(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE, l2: float = L2) -> np.ndarray:
     """Weights and offset that minimise the non-negative risk on positive and unlabelled rows."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    return _descent(np.hstack([x, np.ones((len(x), 1))]), positive, prior, steps, rate, l2)
+
+
+def _descent(x: np.ndarray, positive: np.ndarray, prior: float, steps: int, rate: float, l2: float) -> np.ndarray:
+    """``nn_pu_fit`` of rows that end in a one, for the offset; makes no copy of them."""
     w, squares = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-8)
     n_pos, n_un = max(1, positive.sum()), max(1, (~positive).sum())
     for _ in range(steps):
@@ -125,19 +131,22 @@ def _vectors(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
 
 def _train(rows: pd.DataFrame, prior: float) -> pd.DataFrame:
     rows = rows.sort_values("x", kind="stable")
-    x = np.stack([np.frombuffer(b, dtype=np.float32) for b in rows["x"]])
-    return pd.DataFrame({"weights": [nn_pu_fit(x, rows["positive"].to_numpy(dtype=bool), prior).tolist()]})
+    positive = rows["positive"].to_numpy(dtype=bool)
+    x = np.ones((len(rows), len(rows["x"].iloc[0]) // 4 + 1))
+    for i, b in enumerate(rows["x"]):
+        x[i, :-1] = np.frombuffer(b, dtype=np.float32)
+    return pd.DataFrame({"weights": [_descent(x, positive, prior, STEPS, RATE, L2).tolist()]})
 
 
-def _score(batches: Iterator[pa.RecordBatch], names: list[str], weights: np.ndarray, steady: float) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], names: list[str], weights: np.ndarray, steady: float, at: int, keep: int) -> Iterator[pa.RecordBatch]:
+    """The first ``keep`` columns and a score of the text in column ``at``, null as empty."""
     forget()
     vectors = Vectors(names)
-    for batch in batches:
-        for part in (part.slice(i, 1000) for part in sliced([batch], batch.num_columns - 1) for i in range(0, part.num_rows, 1000)):
-            z = vectors.matrix(part.column(batch.num_columns - 1)) @ weights[:-1] + weights[-1] if len(weights) else np.full(part.num_rows, steady)
-            score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            columns = [part.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+    for part in (part.slice(i, 1000) for part in sliced(batches, at) for i in range(0, part.num_rows, 1000)):
+        texts = pc.fill_null(part.column(at), "")
+        z = vectors.matrix(texts) @ weights[:-1] + weights[-1] if len(weights) else np.full(part.num_rows, steady)
+        score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        yield pa.RecordBatch.from_arrays([*part.columns[:keep], pa.array(score)], names=[*part.schema.names[:keep], "score"])
 
 
 class Toxicity:
@@ -146,12 +155,17 @@ class Toxicity:
     def __init__(self, names: list[str], weights: np.ndarray, prior: float):
         self.names, self.weights, self.prior = names, weights, prior
 
-    def scored(self, docs: DataFrame, keep: list[Column], text: Column) -> DataFrame:
-        """``keep`` columns and a ``score`` of the whole ``text`` of each row."""
-        chosen = docs.select(*keep, text.alias("text_scored"))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+    def scored(self, docs: DataFrame, keep: list[Column], text: Column | int) -> DataFrame:
+        """``keep`` columns and a ``score`` of the whole ``text`` of each row, null as empty.
+
+        A number as ``text`` means the column of that place in ``keep``, whose
+        texts then are not sent to the workers a second time.
+        """
+        at, more = (text, []) if isinstance(text, int) else (len(keep), [text.alias("text_scored")])
+        chosen = docs.select(*keep, *more)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[: len(keep)])
         steady = float(np.log(max(self.prior, 1e-6) / max(1 - self.prior, 1e-6)))
-        work = partial(_score, names=self.names, weights=self.weights, steady=min(steady, -1e-6))
+        work = partial(_score, names=self.names, weights=self.weights, steady=min(steady, -1e-6), at=at, keep=len(keep))
         return chosen.mapInArrow(work, f"{schema}, score double")
 
 
@@ -221,7 +235,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
 def non_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """Rows of ``docs`` that are not predicted to be toxic, all columns as they are."""
     columns = docs.columns
-    kept = fit(docs, labels, **bounds).scored(docs, [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], text_or_empty())
+    text = columns.index("text") if docs.schema["text"].dataType == StringType() else text_or_empty()
+    kept = fit(docs, labels, **bounds).scored(docs, [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], text)
     return kept.filter("score < 0.5").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 
