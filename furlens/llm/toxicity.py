@@ -49,9 +49,11 @@ def features_of(word: str) -> list[str]:
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Number of words of each text, the distinct words, and each word's place among them."""
-    split = pc.split_pattern_regex(pc.utf8_lower(texts.cast(pa.large_string())), r"[^\p{L}]+")
+    pool = pa.system_memory_pool()  # gives back at once what the default one would keep for this worker's next slice
+    lower = pc.utf8_lower(pc.cast(texts, pa.large_string(), memory_pool=pool), memory_pool=pool)
+    split = pc.split_pattern_regex(lower, r"[^\p{L}]+", memory_pool=pool)
     counts = np.diff(split.offsets.to_numpy(zero_copy_only=False))
-    coded = split.flatten().dictionary_encode()
+    coded = pc.dictionary_encode(split.flatten(), memory_pool=pool)
     return counts, coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
 
 
