@@ -18,8 +18,8 @@ need no further comparison among themselves. A pair with a member outside the
 ball can only be linked if both differ from the pivot in a common element
 (otherwise J(x, y) <= min(J(x, p), J(y, p)), which is below the threshold), and
 if their distances to the pivot differ by at most 1 - t. A region of bounded
-size is then joined in one task through an index of the differences. The members
-of a larger one are dealt again, by their rarest differences and by rings around
+size is then joined in one task through an index of the differences, one of a
+few times that size by pairs of its blocks. The members of a larger one are dealt again, by their rarest differences and by rings around
 the pivot with replication to the next ring, to smaller regions, which are
 joined the same way until none is left. A region never holds its parent's pivot,
 so it ends.
@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -49,6 +49,9 @@ CLASS_RATIO = 1.5
 REGION_ROWS = 4096  # a region up to this size, and up to so many differences, is joined in one task
 REGION_ELEMENTS = 1_000_000
 KEY_PASSES = 4  # a set has a key for about every second shingle at 4/5
+PASS_BYTES = 256_000_000  # sets go to their regions in passes of this size, or of half of all sets if that is more
+MOST_BLOCKS = 32  # a region of up to so many blocks, of which two fit into one task, is joined by pairs of blocks
+ELEMENT_BYTES = 100  # about what is shuffled for an element of a set in a crowded region
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -340,6 +343,25 @@ def _with_partners(rows: DataFrame, bounds: Bounds) -> DataFrame:
     return rows.filter(F.coalesce("below", F.lit(False)) | F.coalesce("above", F.lit(False))).select("cell", "p", "sid")
 
 
+def _block_pairs(rows: DataFrame, bounds: Bounds) -> DataFrame:
+    """Members (cell, p, sid, n_shingles) of larger regions, dealt to a region for each pair of blocks they are in.
+
+    Blocks follow each other in the order of sizes; two of them meet if sets of
+    theirs can be linked. Any two linkable sets of a region meet once at least.
+    """
+    by_size = Window.partitionBy("cell").orderBy("n_shingles", "sid").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest(2 * F.col("n_shingles") / REGION_ELEMENTS, F.lit(2 / REGION_ROWS))
+    rows = stored(rows.withColumn("block", F.floor(F.coalesce(F.sum(weight).over(by_size), F.lit(0.0)))), "blocks")
+    blocks = stored(rows.groupBy("cell", "block").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")), "blocks")
+    one, two = blocks.toDF("cell", "one", "low1", "high1"), blocks.toDF("cell", "two", "low2", "high2")
+    pairs = one.join(two, "cell").filter((F.col("one") <= F.col("two")) & (F.col("high1") * bounds.den >= F.col("low2") * bounds.num))
+    # a block meets itself beside another, and alone if it has no other
+    among = Window.partitionBy("cell", "one")
+    pairs = pairs.withColumn("n", F.count("*").over(among)).filter("one <> two or n = 1").withColumn("pair", F.xxhash64("cell", "one", "two"))
+    ways = pairs.select("cell", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"), "pair")
+    return rows.join(small(stored(ways, "ways")), ["cell", "block"]).select(F.col("pair").alias("cell"), "p", "sid", "n_shingles")
+
+
 def _regions(crowded: DataFrame, bounds: Bounds) -> DataFrame:
     """The next regions: members of a crowded one that share a rare difference and a ring."""
     rows = crowded.withColumn("n_delta", F.size("delta"))
@@ -425,51 +447,113 @@ def grouped(docs: DataFrame, words: int, bounds: Bounds, keys_of: Callable, pass
     )
 
 
+def _pass_of(cell: Column, passes: int) -> Column:
+    """The pass that joins a region; all its sets go there in the same one."""
+    return F.pmod(F.xxhash64(cell, F.lit("pass")), F.lit(passes))
+
+
+def _in_pass(texts: DataFrame, number: int, passes: int) -> DataFrame:
+    """``texts`` with those of their regions that are joined in a pass."""
+    pairs = F.filter(F.arrays_zip("cells", "pivots"), lambda pair: _pass_of(pair["cells"], passes) == number)
+    return texts.withColumn("pairs", pairs).filter(F.size("pairs") > 0).select("text", "sid", F.col("pairs.cells").alias("cells"), F.col("pairs.pivots").alias("pivots"))
+
+
 def _verified_links(source: DataFrame, sets: DataFrame, members: DataFrame, words: int, seed: int, bounds: Bounds) -> list[DataFrame]:
     """Tables of links (a, b) that connect what is connected inside the regions of ``members`` (cell, p, sid)."""
     spark = source.sparkSession
     wanted = members.select("sid").union(members.select("p")).distinct()
     places = stored(sets.join(wanted, "sid").groupBy("sid", "n_shingles").agg(F.min(F.struct("row_file", "row_index")).alias("at")).select("sid", "n_shingles", "at.*"), "places")
     sizes = places.select("sid", "n_shingles")
+    whole = 8 * (sets.agg(F.sum("n_shingles")).first()[0] or 0)
 
     def texts_of(rows: DataFrame, *columns: str) -> DataFrame:
         """Texts of the named sets; the rows are few and narrow, the texts are read in place if they can be."""
         return source.select("text", "row_file", "row_index").join(small(stored(rows, "rows")), ["row_file", "row_index"]).select("text", "sid", *columns)
 
-    links, contents = [], None
-    while not members.isEmpty():
-        all_rows = members.union(members.select("cell", "p", F.col("p").alias("sid")).distinct())
-        sized = all_rows.join(small(sizes), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
-        cells = stored(sized.select("cell", ((F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)).alias("bounded")), "cells")
-        held = all_rows.join(small(cells.filter("bounded").select("cell")), "cell").join(small(sizes), "sid")
-        held_rows = stored(_with_partners(held, bounds), "held")
-        crowded = stored(members.join(small(cells.filter("not bounded").select("cell")), "cell").select("cell", "p", "sid"), "crowded")
-        # regions of bounded size: each in one task
+    links: list[DataFrame] = []
+
+    def passes_of(rows: DataFrame, element_bytes: int) -> int:
+        """The more sets there are, the more regions a set has by chance: passes keep what is shuffled at a time in proportion to the sets."""
+        shingles = rows.join(small(sizes), "sid").agg(F.sum("n_shingles")).first()[0] or 0
+        return max(1, math.ceil(element_bytes * shingles / max(PASS_BYTES, whole / 2)))
+
+    def join_bounded(held_rows: DataFrame, contents: DataFrame | None) -> None:
+        """Regions of bounded size: each in one task."""
+        passes = passes_of(held_rows, 8)
         if contents is None:  # a set's regions go to its text, so that sets are shuffled once, by region
             dealt = held_rows.groupBy("sid").agg(F.collect_list("cell").alias("cells"), F.collect_list("p").alias("pivots"))
             texts = texts_of(places.join(dealt, "sid"), "cells", "pivots")
-            held = texts.mapInArrow(partial(_dealt, words=words, seed=seed), "cell long, p long, sid long, shingles array<long>")
-        else:
-            held = contents.join(small(held_rows), "sid").select("cell", "p", "sid", "shingles")
-        joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
-        links.append(stored(joined, "joined"))
-        del held, joined
-        free_shuffles(spark)
-        # crowded ones: all members against the pivot, and what is left to smaller regions
-        if contents is None:  # later regions hold sets of the first crowded ones only
-            wanted = crowded.select("sid").union(crowded.select("p")).distinct()
-            texts = texts_of(places.join(wanted, "sid"))
-            contents = stored(texts.mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
+            if passes > 1:
+                texts = stored(texts, "texts")
+                free_shuffles(spark)
+        for i in range(passes):
+            if contents is None:
+                mine = _in_pass(texts, i, passes) if passes > 1 else texts
+                held = mine.mapInArrow(partial(_dealt, words=words, seed=seed), "cell long, p long, sid long, shingles array<long>")
+            else:
+                mine = held_rows.filter(_pass_of(F.col("cell"), passes) == i)
+                held = contents.join(small(mine), "sid").select("cell", "p", "sid", "shingles")
+            joined = held.repartition("cell").sortWithinPartitions("cell", "sid").mapInArrow(partial(_joined, bounds=bounds), "a long, b long")
+            links.append(stored(joined, "joined"))
+            del mine, held, joined
+            free_shuffles(spark)
+        if contents is None and passes > 1:
+            discard(texts)
+
+    def next_members(crowded: DataFrame, contents: DataFrame) -> DataFrame:
+        """Crowded regions: all members against the pivot, and what is left to smaller regions."""
         mine = contents.join(small(crowded), "sid")
-        compared = mine.join(contents.select(F.col("sid").alias("p"), F.col("shingles").alias("pivot")), "p").select("cell", "p", "sid", "shingles", "pivot")
+        pivots = contents.join(small(crowded.select(F.col("p").alias("sid")).distinct()), "sid").select(F.col("sid").alias("p"), F.col("shingles").alias("pivot"))
+        compared = mine.join(pivots, "p").select("cell", "p", "sid", "shingles", "pivot")
         compared = stored(compared.mapInArrow(partial(_compared, bounds=bounds), COMPARED_TYPES), "compared")
         links.append(stored(compared.filter("linked").select(F.col("sid").alias("a"), F.col("p").alias("b")), "compared"))
         regions = stored(_regions(compared, bounds), "regions")
+        discard(compared)
         following = stored(_members(regions, first=False), "members")
-        discard(members, cells, compared, regions, held_rows, crowded)
-        members = following
-        free_shuffles(spark)
-    discard(members, places, *([contents] if contents is not None else []))
+        discard(regions)
+        return following
+
+    def join(members: DataFrame, contents: DataFrame | None = None) -> None:
+        """All links inside the regions of ``members``; ``contents`` has their sets once they come from a crowded region.
+
+        What comes from a part of the crowded regions is joined before the next part is looked at.
+        """
+        if members.isEmpty():
+            discard(members)
+            return
+        all_rows = members.union(members.select("cell", "p", F.col("p").alias("sid")).distinct())
+        sized = all_rows.join(small(sizes), "sid").groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+        bounded = (F.col("n") <= REGION_ROWS) & (F.col("elements") <= REGION_ELEMENTS)
+        blocks = 2 * (F.col("elements") / REGION_ELEMENTS + F.col("n") / REGION_ROWS)
+        cells = stored(sized.select("cell", F.when(bounded, 0).when(blocks <= MOST_BLOCKS, 1).otherwise(2).alias("size")), "cells")
+
+        def of_size(rows: DataFrame, size: int) -> DataFrame:
+            return rows.join(small(cells.filter(F.col("size") == size).select("cell")), "cell")
+
+        held = of_size(all_rows, 0).join(small(sizes), "sid").select("cell", "p", "sid", "n_shingles")
+        if not cells.filter("size = 1").isEmpty():
+            held = held.union(_block_pairs(of_size(all_rows, 1).join(small(sizes), "sid").select("cell", "p", "sid", "n_shingles"), bounds))
+        held_rows = stored(_with_partners(held, bounds), "held")
+        crowded = stored(of_size(members, 2).select("cell", "p", "sid"), "crowded")
+        join_bounded(held_rows, contents)
+        discard(members, cells, held_rows)
+        passes = 0 if crowded.isEmpty() else passes_of(crowded, ELEMENT_BYTES)
+        for i in range(passes):
+            part = stored(crowded.filter(_pass_of(F.col("cell"), passes) == i), "part")
+            own = contents
+            if own is None:  # later regions hold sets of the first crowded ones only
+                wanted = part.select("sid").union(part.select("p")).distinct()
+                own = stored(texts_of(places.join(wanted, "sid")).mapInArrow(partial(_fetched, words=words, seed=seed), "sid long, shingles array<long>"), "contents")
+            following = next_members(part, own)
+            discard(part)
+            free_shuffles(spark)
+            join(following, own)
+            if contents is None:
+                discard(own)
+        discard(crowded)
+
+    join(members)
+    discard(places)
     return links
 
 
